@@ -96,3 +96,108 @@ ticks AS (
          TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume
   FROM events)
 """
+
+# -- dirty text inputs ---------------------------------------------------------------
+
+
+def raw_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars as landed: text times in two formats, bad times, negative volumes, crossed
+    high/low, missing symbols, and a corrected copy of every bar of the 15th."""
+    b, day = bars(spark, sf), F.dayofmonth("ts")
+    text = (F.when(day == 31, "n/a")
+            .when(day % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+            .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    dirty = b.select(
+        F.when(~((day == 28) & (F.month("ts") == 2)), F.col("symbol")).alias("symbol"),
+        text.alias("timestamp"), "open",
+        F.when(day == 29, F.col("low") - 1).otherwise(F.col("high")).alias("high"),
+        "low", "close",
+        F.when(day == 30, -F.col("volume")).otherwise(F.col("volume")).alias("volume"),
+        "source", "market", day.alias("day"))
+    # The copy is made by exploding, so the bars are computed once.
+    copies = F.when(F.col("day") == 15, F.array(F.col("close"), F.col("low"))).otherwise(
+        F.array("close"))
+    return dirty.withColumn("close", F.explode(copies)).drop("day")
+
+
+RAW_BARS = """
+raw0 AS (
+  SELECT CASE WHEN NOT (day(ts) = 28 AND month(ts) = 2) THEN symbol END AS symbol,
+         CASE WHEN day(ts) = 31 THEN 'n/a'
+              WHEN day(ts) % 2 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS "timestamp",
+         open, CASE WHEN day(ts) = 29 THEN low - 1 ELSE high END AS high, low, close,
+         CASE WHEN day(ts) = 30 THEN -volume ELSE volume END AS volume, source, market,
+         day(ts) AS d
+  FROM bars),
+raw_bars AS (
+  SELECT * EXCLUDE (d) FROM raw0
+  UNION ALL SELECT * EXCLUDE (d) REPLACE (low AS close) FROM raw0 WHERE d = 15)
+"""
+
+
+def price_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks as untyped records with the usual faults."""
+    t, i = ticks(spark, sf), F.col("id")
+    return t.select(
+        F.when(i % 7 == 0, F.concat(F.lit("  "), F.lower("symbol"), F.lit(" ")))
+        .otherwise(F.col("symbol")).alias("symbol"),
+        F.when(i % 101 == 0, "2030-01-01 00:00:00").when(i % 103 == 0, "bad")
+        .when(i % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("timestamp"),
+        F.col("price").cast("string").alias("open"),
+        (F.col("price") + 1).cast("string").alias("high"),
+        (F.col("price") - 1).cast("string").alias("low"),
+        F.when(i % 13 == 0, F.col("price") + 2).otherwise(F.col("price")).cast("string")
+        .alias("close"),
+        F.when(i % 17 == 0, "-5").when(i % 19 == 0, "many")
+        .otherwise(F.col("volume").cast("string")).alias("volume"),
+        F.when(i % 23 == 0, F.lit(None)).when(i % 5 == 0, " feed_x ").otherwise("feed_y")
+        .alias("source"))
+
+
+PRICE_RECORDS = """
+price_records AS (
+  SELECT CASE WHEN id % 7 = 0 THEN '  ' || lower(symbol) || ' ' ELSE symbol END AS symbol,
+         CASE WHEN id % 101 = 0 THEN '2030-01-01 00:00:00' WHEN id % 103 = 0 THEN 'bad'
+              WHEN id % 2 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS "timestamp",
+         CAST(price AS VARCHAR) AS open, CAST(price + 1 AS VARCHAR) AS high,
+         CAST(price - 1 AS VARCHAR) AS low,
+         CAST(CASE WHEN id % 13 = 0 THEN price + 2 ELSE price END AS VARCHAR) AS close,
+         CASE WHEN id % 17 = 0 THEN '-5' WHEN id % 19 = 0 THEN 'many'
+              ELSE CAST(volume AS VARCHAR) END AS volume,
+         CASE WHEN id % 23 = 0 THEN NULL WHEN id % 5 = 0 THEN ' feed_x ' ELSE 'feed_y' END
+           AS source
+  FROM ticks)
+"""
+
+
+def indicator_records(spark: SparkSession, sf: str) -> DataFrame:
+    t, i = ticks(spark, sf), F.col("id")
+    return t.select(
+        "symbol",
+        F.when(i % 103 == 0, "bad").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .alias("timestamp"),
+        (F.col("price") * 4).cast("string").alias("rsi"),
+        F.when(i % 29 == 0, "none").otherwise((F.col("volume") - 50).cast("string"))
+        .alias("macd"),
+        F.when(i % 11 != 0, F.lit("1.5")).alias("macd_signal"),
+        F.lit("-0.25").alias("macd_histogram"),
+        F.col("price").cast("string").alias("sma_20"),
+        (F.col("price") - 1).cast("string").alias("sma_50"))
+
+
+INDICATOR_RECORDS = """
+indicator_records AS (
+  SELECT symbol, CASE WHEN id % 103 = 0 THEN 'bad' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END
+           AS "timestamp",
+         CAST(price * 4 AS VARCHAR) AS rsi,
+         CASE WHEN id % 29 = 0 THEN 'none' ELSE CAST(volume - 50 AS VARCHAR) END AS macd,
+         CASE WHEN id % 11 <> 0 THEN '1.5' END AS macd_signal, '-0.25' AS macd_histogram,
+         CAST(price AS VARCHAR) AS sma_20, CAST(price - 1 AS VARCHAR) AS sma_50
+  FROM ticks)
+"""
+
+SQL_TIME = """coalesce(try_strptime("timestamp", '%Y-%m-%d %H:%M:%S'),
+  try_strptime("timestamp", '%Y-%m-%dT%H:%M:%SZ'))"""

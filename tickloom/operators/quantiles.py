@@ -22,11 +22,16 @@ def _bracket(df: DataFrame, keys: list[str], value: str, probs: list[float]) ->
         F.count(value).alias("rows"),
         F.percentile_approx(value, asked, ACCURACY).alias("q"),
         F.min(value).alias("least"), F.max(value).alias("most"))
+    # The slack is four times the sketch's error; over ACCURACY rows that also covers the two
+    # ranks an interpolated quantile needs. Smaller groups are counted whole.
+    small = F.col("rows") <= ACCURACY
     marks = F.array(*[F.struct(
         F.lit(i).alias("i"),
         ((F.col("rows") - 1) * F.lit(float(p))).alias("rank"),
-        (F.col("least") if p - slack <= 0 else F.col("q")[i]).alias("low"),
-        (F.col("most") if p + slack >= 1 else F.col("q")[k + i]).alias("high"))
+        F.when(small | F.lit(p - slack <= 0), F.col("least")).otherwise(F.col("q")[i])
+        .alias("low"),
+        F.when(small | F.lit(p + slack >= 1), F.col("most")).otherwise(F.col("q")[k + i])
+        .alias("high"))
         for i, p in enumerate(probs)])
     return sketch.filter("rows > 0").select(*keys, "rows", F.explode(marks).alias("m")).select(
         *keys, "rows", "m.*")
