@@ -65,8 +65,9 @@ def keyed_landed(spark, sf, series: str, zone_key: str, volume_key: str, extra:
     if extra:
         pairs += [F.lit("5. adjusted close"), text("close")]
     value = F.struct(day_text().alias("k"), F.create_map(*pairs).alias("m"))
-    months = per_month(spark, sf, value)
-    entries = F.map_from_entries(F.transform("items", lambda i: i["v"]))
+    months = bars(spark, sf).groupBy("symbol", F.date_trunc("MONTH", "ts").alias("month")).agg(
+        F.collect_list(value).alias("items"))
+    entries = F.map_from_entries("items")
     meta = F.when(F.month("month") % 2 == 0, F.create_map(F.lit(zone_key), F.lit("UTC"))).otherwise(
         F.create_map(F.lit("3. Last Refreshed"), F.date_format("month", "yyyy-MM")))
     return months.select("symbol", F.to_json(F.struct(

@@ -84,7 +84,7 @@ def iqr_outliers(features: DataFrame, cols=FEATURES, width: float = 1.5) -> Data
     long = features.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
         for c in cols])).alias("f")).select("f.*")
-    quartiles = exact_quantiles(long, ["feature"], "value", [0.25, 0.75])
+    quartiles = exact_quantiles(long, ["feature"], "value", [0.25, 0.75], few_keys=True)
     # One row per feature name: the map has exactly len(cols) entries.
     bounds = quartiles.agg(F.map_from_entries(F.collect_list(
         F.struct("feature", "quantiles"))).alias("b"))
@@ -110,13 +110,8 @@ def statistical_anomalies(features: DataFrame, cols=FEATURES) -> DataFrame:
                             F.greatest(*[F.col(f"{c}_zscore") for c in cols])})
 
 
-def combined_anomalies(statistical: DataFrame, scored: DataFrame, keys=("symbol", "ts")) -> DataFrame:
-    """Statistical or forest flag, larger of both scores."""
-    both = statistical.join(scored.select(*keys, "is_anomaly_ml", "anomaly_score_ml"), list(keys))
-    return combine_flags(both)
-
-
 def combine_flags(both: DataFrame) -> DataFrame:
+    """Statistical or forest flag, larger of both scores; both come from one table."""
     return both.withColumns({
         "is_anomaly": F.col("is_anomaly_statistical") | F.coalesce("is_anomaly_ml", F.lit(False)),
         "anomaly_score": F.greatest("anomaly_score_statistical",

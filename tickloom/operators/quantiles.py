@@ -37,10 +37,17 @@ def _bracket(df: DataFrame, keys: list[str], value: str, probs: list[float]) ->
         *keys, "rows", "m.*")
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
-    """keys, rows, quantiles array; linear interpolation between neighbouring ranks."""
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
+                    few_keys: bool = False) -> DataFrame:
+    """keys, rows, quantiles array; linear interpolation between neighbouring ranks.
+
+    Set ``few_keys`` only where the number of keys is fixed by the caller (such as a list of
+    feature names): the bounds are then broadcast. Otherwise Spark picks the join by size.
+    """
     data = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
     marks = _bracket(data, keys, "v", probs)
+    if few_keys:
+        marks = F.broadcast(marks)
     # Rows under the bracket only need counting; those inside are counted per value, both in
     # one map-side combined aggregate (rows below share the NULL value).
     joined = data.join(marks, keys).filter("v <= high")

@@ -18,17 +18,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-_HELPERS = ("_slice", "_from", "_at", "_own", "_upto", "_block", "_mine")
+_HELPERS = ("_slice", "_from", "_at", "_total", "_own", "_upto", "_block", "_mine")
 
 
 @dataclass(frozen=True)
 class Series:
-    """How a table is cut: key columns, time column, slice unit, rows per block."""
+    """How a table is cut: key columns, time column, slice unit, rows per block.
+
+    ``ties`` order rows of equal time; ``newest_first`` turns the order round, so that a lag
+    looks into the future.
+    """
 
     keys: tuple[str, ...] = ("symbol",)
     ts: str = "ts"
     unit: str = "DAY"
     block_rows: int = 65_536
+    ties: tuple[str, ...] = ()
+    newest_first: bool = False
 
     # -- layout -----------------------------------------------------------------
 
@@ -44,11 +50,13 @@ class Series:
         keys = list(self.keys)
         sliced = df.withColumn("_slice", F.date_trunc(self.unit, F.col(self.ts)))
         counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-        earlier = (Window.partitionBy(*keys).orderBy("_slice")
+        earlier = (Window.partitionBy(*keys).orderBy(*self._ordered("_slice"))
                    .rowsBetween(Window.unboundedPreceding, -1))
-        starts = counts.withColumn("_from", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        starts = counts.withColumns({
+            "_from": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+            "_total": F.sum("_rows").over(Window.partitionBy(*keys))})
         if exact:
-            within = Window.partitionBy(*keys, "_slice").orderBy(self.ts)
+            within = Window.partitionBy(*keys, "_slice").orderBy(*self._ordered())
             placed = (sliced.withColumn("_at", F.row_number().over(within) - F.lit(1))
                       .join(starts.drop("_rows"), [*keys, "_slice"])
                       .withColumn("_at", F.col("_at") + F.col("_from"))
@@ -73,8 +81,12 @@ class Series:
 
     # -- windows ----------------------------------------------------------------
 
+    def _ordered(self, time: str | None = None) -> list[Column]:
+        names = [time] if time else [self.ts, *self.ties]
+        return [F.col(c).desc() if self.newest_first else F.col(c).asc() for c in names]
+
     def order(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, "_block").orderBy(self.ts)
+        return Window.partitionBy(*self.keys, "_block").orderBy(*self._ordered())
 
     def frame(self, rows: int, end: int = 0) -> WindowSpec:
         """The last ``rows`` rows up to ``end`` rows from the current one."""
@@ -95,5 +107,11 @@ class Series:
         return self.own(wide)
 
 
+    def numbered(self, df: DataFrame) -> DataFrame:
+        """Rows with their position in the series (``_at``, from 0) and its length
+        (``_total``); with no keys, in the whole table, still without a single-task window."""
+        return self.spread(df, exact=True).drop("_block", "_mine", "_from")
+
+
 DAILY = Series(unit="YEAR")
 TICKS = Series(unit="DAY")
