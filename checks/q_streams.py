@@ -191,11 +191,10 @@ def _(spark, sf):
     rows = event_stream(spark, sf).withColumns({"source": F.lit("events"),
                                                 "data_type": F.lower("symbol")})
     # By day here: thirty folders instead of seven hundred.
-    keyed = rows.withColumn("hour", F.date_format("ts", "yyyy-MM-dd"))
-    jobs.to_files(keyed, f"{base}/out", f"{base}/state", None, "json",
-                  ("source", "data_type", "hour"), compression="gzip").awaitTermination()
+    jobs.archive(rows, f"{base}/out", f"{base}/state", None, "yyyy-MM-dd").awaitTermination()
     back = spark.read.schema("id bigint, symbol string, ts timestamp, price double, "
-                             "volume bigint, source string, data_type string, hour string")
+                             "volume bigint, source string, data_type string, hour string"
+                             ).option("timestampFormat", jobs.JSON_TIME)
     return plain_time(back.json(f"{base}/out")).select(*TICK_COLS)
 
 
@@ -306,10 +305,10 @@ def _(spark, sf):
 @query("load_table", ALL_BARS)
 def _(spark, sf):
     base = shared_folder(spark)
-    b = bars(spark, sf)
-    b.filter("market = 'stocks'").write.mode("append").parquet(base)
-    b.filter("market <> 'stocks'").write.mode("append").parquet(base)
-    return bar_view(spark.read.parquet(base))
+    name, b = "prices_" + base.rsplit("/", 1)[-1], bars(spark, sf)
+    for part in ("market = 'stocks'", "market <> 'stocks'"):
+        sink.load_table(b.filter(part), name, path=base)
+    return bar_view(spark.table(name))
 
 
 # -- file sources --------------------------------------------------------------------

@@ -32,9 +32,13 @@ def write_by_source_market(df: DataFrame, path: str) -> None:
     write_partitioned(df, path, "source", "market", fmt="json")
 
 
-def load_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "parquet") -> None:
+def load_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "parquet",
+               path: str | None = None) -> None:
     """Append to a catalog table: the write commits as a whole or not at all."""
-    df.write.mode(mode).format(fmt).saveAsTable(table)
+    writer = df.write.mode(mode).format(fmt)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def merge_serving(current: DataFrame | None, incoming: DataFrame, as_of: Column,

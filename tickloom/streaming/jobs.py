@@ -51,12 +51,16 @@ def to_console(df: DataFrame, checkpoint: str, every: str | None = "10 seconds"
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def archive(df: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds"
-            ) -> StreamingQuery:
+# Keeps microseconds in JSON; readers must be given the same format.
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def archive(df: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds",
+            folder: str = "yyyy-MM-dd-HH") -> StreamingQuery:
     """Compressed JSON in source / type / hour folders."""
-    keyed = df.withColumn("hour", F.date_format("ts", "yyyy-MM-dd-HH"))
+    keyed = df.withColumn("hour", F.date_format("ts", folder))
     return to_files(keyed, path, checkpoint, every, "json", ("source", "data_type", "hour"),
-                    compression="gzip")
+                    compression="gzip", timestampFormat=JSON_TIME)
 
 
 def load_incrementally(spark: SparkSession, landing: str, target: str, checkpoint: str,
