@@ -39,12 +39,12 @@ def fit_ridge(train: DataFrame, target: str, alpha: float = 1.0,
               features=PREDICTION_FEATURES) -> PipelineModel:
     """Ridge with penalty ``alpha`` on features scaled by their population deviation.
 
-    Spark averages the loss, divides the penalty by the label's deviation and scales features
-    by the sample deviation; the factor below makes the penalty the same.
+    Spark averages the loss, scales the label by its population deviation and standardises
+    the features itself; the factor below makes the penalty the same.
     """
     data = train.filter(F.col(target).isNotNull())
     n, deviation = data.agg(F.count(F.lit(1)), F.stddev_pop(target)).first()
-    strength = alpha * deviation / n * (n - 1) / n
+    strength = alpha * deviation / n
     return _pipeline(LinearRegression(featuresCol="features", labelCol=target, solver="normal",
                                       regParam=strength, elasticNetParam=0.0,
                                       predictionCol="ridge"), features).fit(data)
