@@ -14,6 +14,7 @@ from tickloom.operators import (anomalies as an, indicators as ind, lookups as l
                                 summaries as sm, topk)
 from tickloom.operators.series import TICKS as TICK_SERIES
 from tickloom.plans import batch
+from tickloom.session import shared_folder
 from tickloom.sources.bars import date_filter
 
 OHLC = ("open", "high", "low", "close")
@@ -471,7 +472,7 @@ su AS (SELECT market, floor(avg(close) * 100 + 0.5) / 100 AS avg_price,
 SELECT *, CASE WHEN avg_change_pct > 1 THEN 'BULLISH' WHEN avg_change_pct < -1 THEN 'BEARISH'
   ELSE 'NEUTRAL' END AS market_sentiment FROM su"""))
 def _(spark, sf):
-    return batch.market_report(raw_bars(spark, sf))
+    return batch.market_report(raw_bars(spark, sf), shared_folder(spark))
 
 
 @query("quick_market_avg", with_ctes(BARS, body=f"""

@@ -202,7 +202,8 @@ def test_changes(spark):
 def test_no_full_sort_or_cross_join_in_the_flagship(spark):
     from checks.fixtures import raw_bars
     from tickloom.plans.batch import market_report
-    plan = market_report(raw_bars(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().toString()
+    report = market_report(raw_bars(spark, "/root/testdata/sf0.001"))
+    plan = report._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
 

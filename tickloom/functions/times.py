@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# The accepted timestamp formats, first match wins.
-FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+# The accepted timestamp formats.
+SPACED, ZULU = "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def parse_time(text: Column) -> Column:
-    """First format that fits, else NULL; never raises."""
-    tries = [F.try_to_timestamp(text, F.lit(f)) for f in FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    """Either format, else NULL; never raises.
+
+    The eleventh character tells which format can fit. A failed parse is an exception inside
+    Spark, so trying one format after the other costs far more than looking first.
+    """
+    return F.when(F.substring(text, 11, 1) == "T", F.try_to_timestamp(text, F.lit(ZULU))).otherwise(
+        F.try_to_timestamp(text, F.lit(SPACED))).cast("timestamp_ntz")
 
 
 def parse_time_loose(text: Column) -> Column:
-    """ISO-like text of any precision, else NULL."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in FORMATS],
-                      text.try_cast("timestamp")).cast("timestamp_ntz")
+    """ISO-like text of any precision, else NULL. Sessions run in UTC."""
+    return text.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def from_millis(ms: Column) -> Column:

@@ -6,16 +6,28 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.operators import anomalies, indicators, quality, summaries
 from tickloom.operators.series import DAILY, Series
+from tickloom.sinks.tables import write_processed
 
 
-def flagged_bars(raw: DataFrame, series: Series = DAILY) -> DataFrame:
-    """Clean bars with indicators and anomaly flags. Both steps share the same shuffle."""
-    return series.run(quality.clean_and_validate(raw), 101, indicators.batch_step,
-                      anomalies.zscore_step)
+def staged_clean(raw: DataFrame, folder: str) -> DataFrame:
+    """Clean bars as a written table in shared storage.
 
+    The steps after it read the bars twice, once narrowly to count rows per slice; parsing
+    and removing repeats happen once, and a lost executor costs no recomputation of them.
+    """
+    path = write_processed(quality.clean_and_validate(raw), folder, "clean_bars")
+    return raw.sparkSession.read.parquet(path)
 
-def market_report(raw: DataFrame, series: Series = DAILY) -> DataFrame:
-    return summaries.market_summary(flagged_bars(raw, series))
+
+def flag(clean: DataFrame, series: Series = DAILY) -> DataFrame:
+    """Indicators and anomaly flags of clean bars. Both steps share the same shuffle."""
+    return series.run(clean, 101, indicators.batch_step, anomalies.zscore_step)
+
+
+def market_report(raw: DataFrame, folder: str | None = None, series: Series = DAILY) -> DataFrame:
+    """Market summary; with a shared ``folder`` the clean bars are staged there."""
+    clean = staged_clean(raw, folder) if folder else quality.clean_and_validate(raw)
+    return summaries.market_summary(flag(clean, series))
 
 
 def warehouse_indicators(all_indicators: DataFrame) -> DataFrame:
@@ -26,10 +38,8 @@ def warehouse_indicators(all_indicators: DataFrame) -> DataFrame:
 
 
 def run(raw: DataFrame, output: str, series: Series = DAILY) -> None:
-    """Write both result tables. The flagged bars are written once and the summary reads
-    them back, so nothing is computed twice and no lineage is kept."""
-    from tickloom.sinks.tables import write_processed
-
-    flagged_path = write_processed(flagged_bars(raw, series), output, "financial_indicators")
-    stored = raw.sparkSession.read.parquet(flagged_path)
+    """Write both result tables. Each stage is written once and the next one reads it."""
+    flagged = write_processed(flag(staged_clean(raw, output), series), output,
+                              "financial_indicators")
+    stored = raw.sparkSession.read.parquet(flagged)
     write_processed(summaries.market_summary(stored), output, "market_summary")
