@@ -114,10 +114,15 @@ def raw_bars(spark: SparkSession, sf: str) -> DataFrame:
         "low", "close",
         F.when(day == 30, -F.col("volume")).otherwise(F.col("volume")).alias("volume"),
         "source", "market", day.alias("day"))
-    # The copy is made by exploding, so the bars are computed once.
-    copies = F.when(F.col("day") == 15, F.array(F.col("close"), F.col("low"))).otherwise(
-        F.array("close"))
-    return dirty.withColumn("close", F.explode(copies)).drop("day")
+    # The copy is made by exploding, so the bars are computed once. The time text goes through
+    # the explode as well: filters on it then run on bars and are not pushed down to trades.
+    def row(close):
+        return F.struct(F.col("timestamp"), close.alias("close"))
+
+    copies = F.when(F.col("day") == 15, F.array(row(F.col("close")), row(F.col("low")))).otherwise(
+        F.array(row(F.col("close"))))
+    return dirty.withColumn("r", F.explode(copies)).select(
+        "symbol", "r.timestamp", "open", "high", "low", "r.close", "volume", "source", "market")
 
 
 RAW_BARS = """
