@@ -18,9 +18,10 @@ _UNUSABLE = np.int64(1) << 40
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin number and offset of each length (1 to ``capacity``), taken in the order given.
 
-    ``open_[g]`` counts the open bins with residual gap ``g``. A piece goes where the sum of the
-    squared counts becomes smallest: into a bin of a common gap whose new gap is rare, or into a
-    new bin if that keeps the sum lower. Ties go to the smallest gap.
+    ``open_[g]`` counts the open bins with residual gap ``g``. A piece goes into the open bin that
+    makes the sum of the squared counts smallest, that is, one of a common gap whose new gap is
+    rare; ties go to the smallest gap. A new bin is opened only where none has room: with the
+    longest pieces first, that leaves fewer bins than opening one to please the sum.
     """
     open_ = np.zeros(capacity + 1, np.int64)
     bins: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -28,13 +29,13 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     made = 0
     for i, size in enumerate(lengths.tolist()):
         here, then = open_[size:capacity], open_[:capacity - size]
-        best, change = capacity, 2 * open_[capacity - size] + 1 if size < capacity else 0
+        best = capacity
         if len(here):
             delta = 2 * (then - here) + 2
             delta[0] = 1 - 2 * here[0]  # an exact fit closes the bin
             delta[here == 0] = _UNUSABLE
             at = int(delta.argmin())
-            if delta[at] <= change:
+            if delta[at] < _UNUSABLE:
                 best = size + at
         if best == capacity:
             number, made = made, made + 1
@@ -48,35 +49,14 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return place, offset
 
 
-def pack_group(lengths: np.ndarray, capacity: int, rounds: int = 6,
-               seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """As :func:`sum_of_squares`, in several rounds: full bins are final, and the pieces of the
-    others are taken again in another order (longest first, shuffled, in turn)."""
-    place, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    left, made, chance = np.arange(len(lengths)), 0, np.random.default_rng(seed)
-    for number in range(rounds):
-        order = left[np.argsort(-lengths[left], kind="stable")] if number % 2 == 0 \
-            else left[chance.permutation(len(left))]
-        bins, at = sum_of_squares(lengths[order], capacity)
-        filled = np.bincount(bins, lengths[order]) if len(order) else np.zeros(0)
-        final = filled == capacity if number < rounds - 1 else np.ones(len(filled), bool)
-        renumbered = made + np.cumsum(final) - 1
-        done = final[bins]
-        place[order[done]], offset[order[done]] = renumbered[bins[done]], at[done]
-        made, left = made + int(final.sum()), np.sort(order[~done])
-        if not len(left):
-            break
-    return place, offset
-
-
 def pack(pieces: DataFrame, capacity: int = 2048, group: int = GROUP,
          length_col: str = "length", seed: int = 5) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: each sequence holds ``capacity`` tokens at
     most, without gaps from 0.
 
     The pieces are dealt by a seeded hash to groups of about ``group`` rows, and each group is
-    packed by :func:`pack_group`; only the last few sequences of a group stay partly empty, so the
-    loss is a fixed share at any size.
+    packed by :func:`sum_of_squares`, longest first; only the last few sequences of a group stay
+    partly empty, so the loss is a fixed share at any size.
     Token ids need not come along: a row is a few numbers.
 
     Defined cases: a null or non-positive length is an error of the caller; equal rows get places
@@ -89,8 +69,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, group: int = GROUP,
     schema = f"{keyed.schema.simpleString()[7:-1]},sequence_id:bigint,offset:bigint"
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([c for c in ("doc_id", "piece", length_col) if c in rows])
-        number, offset = pack_group(rows[length_col].to_numpy(np.int64), capacity)
+        rows = rows.sort_values([length_col, *[c for c in ("doc_id", "piece") if c in rows]],
+                                ascending=False, kind="stable")
+        number, offset = sum_of_squares(rows[length_col].to_numpy(np.int64), capacity)
         return rows.assign(sequence_id=rows["_group"] * (1 << 32) + number, offset=offset)
 
     return keyed.groupBy("_group").applyInPandas(place, schema).drop("_group")
