@@ -430,7 +430,7 @@ def test_multi_index_finds_every_code_within():
     rng = np.random.default_rng(4)
     codes, asked = rng.integers(0, 256, (500, 4), np.uint8), rng.integers(0, 256, (20, 4), np.uint8)
     for radius in (0, 3, 7, 11):
-        got = ann.MultiIndex(codes).within(asked, radius)
+        got = ann.MultiIndex(codes).within(asked, np.full(20, radius))
         far = np.bitwise_count(asked[:, None] ^ codes[None]).sum(2)
         assert (got == (far <= radius)).all()
 

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from tickloom.session import shared_folder
 
-#: Code bits, substrings of 8 bits each, Hamming radius, vectors to learn from, queries of a
+#: Code bits (substrings have 8 each), first Hamming radius, standard deviations of the bits that
+#: two vectors differ in which the radius leaves room for, vectors to learn from, queries of a
 #: broadcast block, rows that one index holds.
-BITS, RADIUS, LEARN_ROWS, QUERIES, INDEX_ROWS = 128, 54, 10_000, 4096, 16_384
+BITS, RADIUS, SPREAD, LEARN_ROWS, QUERIES, INDEX_ROWS = 128, 32, 1.65, 10_000, 4096, 16_384
 
 
 @dataclass
@@ -56,12 +57,12 @@ class MultiIndex:
         self.first = np.stack([np.searchsorted(codes[o, j], np.arange(257))
                                for j, o in enumerate(self.order)])
 
-    def within(self, queries: np.ndarray, radius: int) -> np.ndarray:
-        """For each query and row, whether the codes differ in ``radius`` bits at most. If they
-        do, some byte differs in ``radius // bytes`` bits at most, so only rows found by probing
-        each byte's values that near are compared."""
+    def within(self, queries: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """For each query and row, whether the codes differ in the query's ``radius`` bits at
+        most. If they do, some byte differs in ``radius // bytes`` bits at most, so only rows
+        found by probing each byte's values that near are compared."""
         size, parts = len(self.codes), self.codes.shape[1]
-        probes = _byte_flips(min(radius // parts, 8))
+        probes = _byte_flips(min(int(radius.max(initial=0)) // parts, 8))
         found = np.zeros((len(queries), size), bool)
         for j in range(parts):
             values = queries[:, j, None] ^ probes
@@ -72,7 +73,7 @@ class MultiIndex:
             query = np.repeat(np.repeat(np.arange(len(queries)), len(probes)), count)
             found[query, self.order[j][at]] = True
         q, row = np.nonzero(found)
-        far = np.bitwise_count(queries[q] ^ self.codes[row]).sum(1) > radius
+        far = np.bitwise_count(queries[q] ^ self.codes[row]).sum(1) > radius[q]
         found[q[far], row[far]] = False
         return found
 
@@ -82,7 +83,7 @@ def _byte_flips(most: int) -> np.ndarray:
                      for c in combinations(range(8), n)], np.uint8)
 
 
-def nearest(frame: DataFrame, queries: DataFrame, k: int = 10, radius: int = RADIUS,
+def nearest(frame: DataFrame, queries: DataFrame, k: int = 10, spread: float = SPREAD,
             bits: int = BITS, id_col: str = "vec_id", vector_col: str = "embedding",
             learn_rows: int = LEARN_ROWS) -> DataFrame:
     """For each query (id, vector) its ``k`` nearest rows of ``frame`` but its own id: query_id,
@@ -90,10 +91,11 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 10, radius: int = RAD
 
     The rotations are learned from the ``learn_rows`` rows whose id hashes lowest. All rows are
     encoded and indexed, ``INDEX_ROWS`` at a time in the task that reads them. Queries come in
-    blocks of ``QUERIES``, each a broadcast of fixed size and a pass over the rows: an index gives
-    every code within ``radius`` bits, and where these are fewer than ``k`` the radius grows until
-    there are enough or all. Candidates are ranked by their vectors. A task hands on ``k`` rows a
-    query, so neither a frequent vector nor a frequent code gathers anywhere.
+    blocks of ``QUERIES``, each a broadcast of fixed size and a pass over the rows. An index gives
+    every code within a Hamming radius, which grows until it holds ``k`` rows (or all), and then
+    to the bits in which a vector as far as the k-th best so far is expected to differ, and
+    ``spread`` standard deviations more. Candidates are ranked by their vectors. A task hands on
+    ``k`` rows a query, so neither a frequent vector nor a frequent code gathers anywhere.
 
     Defined cases: a null vector, one of another length than most, all zeros, or with a null or
     not finite component takes no part, as query or row; a null id takes no part; fewer than ``k``
@@ -120,17 +122,17 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 10, radius: int = RAD
     for row in asked.toLocalIterator():
         block.append((row["id"], row["v"]))
         if len(block) == QUERIES:
-            _search(rows, block, coder, k, radius, schema).write.mode("append").parquet(folder)
+            _search(rows, block, coder, k, spread, schema).write.mode("append").parquet(folder)
             block = []
     if block:
-        _search(rows, block, coder, k, radius, schema).write.mode("append").parquet(folder)
+        _search(rows, block, coder, k, spread, schema).write.mode("append").parquet(folder)
     spark.createDataFrame([], schema).write.mode("append").parquet(folder)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return spark.read.schema(schema).parquet(folder).withColumn("rank", F.row_number().over(order)) \
         .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(rows: DataFrame, block: list, coder: Coder, k: int, radius: int,
+def _search(rows: DataFrame, block: list, coder: Coder, k: int, spread: float,
             schema: str) -> DataFrame:
     ids = np.array([i for i, _ in block])
     vectors = np.array([v for _, v in block])
@@ -138,6 +140,8 @@ def _search(rows: DataFrame, block: list, coder: Coder, k: int, radius: int,
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, points, codes, coder = shared.value
+        bits = codes.shape[1] * 8
+        spans = np.sqrt(((points - coder.mean) ** 2).sum(1))
         best = [(np.zeros(0), np.zeros(0, np.int64))] * len(asked)
         for batch in batches:
             for at in range(0, batch.num_rows, INDEX_ROWS):
@@ -146,11 +150,21 @@ def _search(rows: DataFrame, block: list, coder: Coder, k: int, radius: int,
                 there = part.column("v").flatten().to_numpy().reshape(len(here), -1)
                 index = MultiIndex(coder.encode(there))
                 for q in range(0, len(asked), 256):
-                    found = _enough(index, codes[q:q + 256], asked[q:q + 256], here, k, radius)
-                    for i, row in enumerate(found, q):
-                        near = np.flatnonzero(row)
-                        score = np.sqrt(((there[near] - points[i]) ** 2).sum(1))
-                        best[i] = _merge(*best[i], score, here[near], k)
+                    of = range(q, min(q + 256, len(asked)))
+                    other = asked[of.start:of.stop, None] != here
+                    radius = np.array([_radius(best[i][0], k, spans[i], spread, bits)
+                                       for i in of])
+                    found = _enough(index, codes[of.start:of.stop], other, k, radius)
+                    seen = [_merge(*best[i], *_ranked(points[i], row, there, here), k)
+                            for i, row in zip(of, found)]
+                    wider = np.array([_radius(x[0], k, spans[i], spread, bits)
+                                      for i, x in zip(of, seen)])
+                    again = np.flatnonzero(wider > radius)
+                    more = index.within(codes[of.start:of.stop][again], wider[again]) \
+                        & other[again] & ~found[again]
+                    for j, row in zip(again.tolist(), more):
+                        seen[j] = _merge(*seen[j], *_ranked(points[q + j], row, there, here), k)
+                    best[of.start:of.stop] = seen
         counts = [len(s) for s, _ in best]
         yield pa.RecordBatch.from_pydict({
             "query_id": pa.array(np.repeat(asked, counts)),
@@ -163,18 +177,33 @@ def _search(rows: DataFrame, block: list, coder: Coder, k: int, radius: int,
         .drop("rank")
 
 
-def _enough(index: MultiIndex, codes, asked, here, k: int, radius: int) -> np.ndarray:
-    """Candidates of each query, its own id left out; at least ``k`` where there are so many."""
-    other = asked[:, None] != here
+def _radius(scores: np.ndarray, k: int, span: float, spread: float, bits: int) -> int:
+    """The bits in which a vector may differ that is as near as the k-th best so far. Signs after
+    a random rotation differ in a share of the angle; ``span`` is the query's distance from the
+    centre."""
+    if len(scores) < k:
+        return RADIUS
+    share = 2 / np.pi * np.arcsin(min(1.0, scores[k - 1] / (2 * span) if span else 1.0))
+    return int(np.ceil(bits * share + spread * np.sqrt(bits * share * (1 - share))))
+
+
+def _enough(index: MultiIndex, codes: np.ndarray, other: np.ndarray, k: int,
+            radius: np.ndarray) -> np.ndarray:
+    """The ``other`` rows within each query's radius; where these are fewer than ``k``, the radius
+    grows (in place) until there are enough or all."""
     found = index.within(codes, radius) & other
     most = np.minimum(k, other.sum(1))
-    bits = codes.shape[1] * 8
     while (few := np.flatnonzero(found.sum(1) < most)).size:
-        radius = min(bits, radius + index.codes.shape[1])
-        found[few] = index.within(codes[few], radius) & other[few]
+        radius[few] += codes.shape[1]
+        found[few] = index.within(codes[few], radius[few]) & other[few]
     return found
 
 
+def _ranked(point: np.ndarray, row: np.ndarray, there: np.ndarray, here: np.ndarray):
+    near = np.flatnonzero(row)
+    return np.sqrt(((there[near] - point) ** 2).sum(1)), here[near]
+
+
 def _merge(score, ids, more, more_ids, k: int):
     score, ids = np.concatenate([score, more]), np.concatenate([ids, more_ids])
     order = np.lexsort((ids, score))[:k]
