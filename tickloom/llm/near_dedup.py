@@ -23,6 +23,10 @@ _WEIGHTS = np.random.default_rng(7).integers(1, 1 << 63, 64, np.uint64) | np.uin
 _CHANCE = 0.1699194871597391
 #: Standard errors that an estimate may lie below the limit and still go to confirmation.
 _SLACK = 5
+#: Where an empty register borrows from, try by try; the same for all sketches.
+_PROBES = np.random.default_rng(11).integers(0, REGISTERS, (64, REGISTERS))
+#: Documents and shingles that the order of rarity is learned from; it decides the work only.
+RARITY_DOCS, RARITY_SHINGLES = 5000, 100_000
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,13 +73,33 @@ def sketches(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key for each band of registers, and whether the band has any value."""
+def filled(rows: np.ndarray) -> np.ndarray:
+    """Sketches without empty registers: each borrows from registers at fixed random places until
+    one has a value. A register then matches with the sets' similarity also for small sets; an
+    empty one would match far more often, and a band of them on a single shared line."""
+    out = rows.copy()
+    row, at = np.nonzero(out == 0)
+    for probe in _PROBES:
+        if not len(row):
+            return out
+        value = rows[row, probe[at]]
+        out[row, at] = value
+        left = value == 0
+        row, at = row[left], at[left]
+    for r in np.unique(row):  # hardly any value: the next one along the sketch
+        have = np.flatnonzero(rows[r])
+        if len(have):
+            gaps = at[row == r]
+            out[r, gaps] = rows[r, have[np.searchsorted(have, gaps) % len(have)]]
+    return out
+
+
+def band_keys(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band of registers of each sketch."""
     bands = REGISTERS // BAND
-    parts = rows[:, :bands * BAND].reshape(len(rows), bands, BAND)
+    parts = filled(rows)[:, :bands * BAND].reshape(len(rows), bands, BAND)
     keys = (parts.astype(np.uint64) * _WEIGHTS[:BAND]).sum(2, dtype=np.uint64)
-    return mix(keys + np.arange(bands, dtype=np.uint64) * _WEIGHTS[63]).view(np.int64), \
-        (parts > 0).any(2)
+    return mix(keys + np.arange(bands, dtype=np.uint64) * _WEIGHTS[63]).view(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray,
@@ -101,11 +125,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
        128-bit hash of the set and combined before the shuffle: copies cost a row each.
     2. Registers are banded. In each band, members are paired with the smallest id only. Pairs
        whose corrected estimate is not clearly below the limit are confirmed on the full sets.
-    3. Links give components. Bands that still hold several components are looked at once more:
-       their members outside the band's largest component are paired with those of the others,
-       estimated and confirmed. So any two documents that share a band are in one component or
-       have been compared. Two documents at the limit share no band with a chance below 1e-5
-       (42 bands of 6 registers).
+    3. Links give components. Members of bands that still hold several components are looked at
+       once more by their rarest shingles: two sets at the limit must share one of the first
+       n - ceil(limit * n) + 1 of an order that is the same for all, at places that leave room for
+       the overlap they need. Pairs of different components that do are estimated and confirmed.
+       So any two documents that share a band are in one component or cannot be linked, and
+       common passages or large groups of copies make no pairs of all with all. Two documents at
+       the limit share no band with a chance below 1e-5 (42 bands of 6 registers).
 
     Defined cases: a text without words has no shingle and links with nothing; a null id has a
     null component and is kept; rows with the same id are one document, linked if any of its
@@ -133,7 +159,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     links = staged(_confirm(
         members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b"))
         .distinct(), near, texts, percent), "confirmed")
-    more = _confirm(_across(members, connected_components(links)), near, texts, percent)
+    more = _confirm(_across(members, connected_components(links), texts, percent), near, texts, percent)
     links = staged(links.union(more), "all_links")
     found = staged(connected_components(links), "components")
     known = classes.join(found, "node", "left").select(
@@ -172,10 +198,10 @@ def _members(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, used = band_keys(_table(batch.column("sketch")))
+            keys = band_keys(_table(batch.column("sketch")))
             yield pa.RecordBatch.from_pydict({
                 "node": batch.column("node"),
-                "keys": pa.array([k[u] for k, u in zip(keys, used)], pa.list_(pa.int64()))})
+                "keys": pa.array(list(keys), pa.list_(pa.int64()))})
 
     kind = nodes.schema["node"].dataType.simpleString()
     bands = nodes.select("node", "sketch").mapInArrow(run, f"node {kind}, keys array<long>") \
@@ -186,20 +212,60 @@ def _members(nodes: DataFrame) -> DataFrame:
     return staged(bands.join(shared, "key"), "members")
 
 
-def _across(members: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs of nodes in a band that are not in one component yet: those outside the band's
-    largest component, with those of the other components."""
-    placed = staged(members.join(components, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")), "placed")
-    mixed = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.max_by("component", F.struct("n", "component")).alias("largest"),
-        F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    left = staged(placed.join(staged(mixed, "mixed"), "key"), "mixed_members")
-    a = left.where("component <> largest").select("key", F.col("node").alias("x"),
-                                                  F.col("component").alias("cx"))
-    b = left.select("key", F.col("node").alias("y"), F.col("component").alias("cy"))
-    return a.join(b, "key").where("cx <> cy").select(
-        F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+def _across(members: DataFrame, components: DataFrame, texts: DataFrame,
+            percent: int) -> DataFrame:
+    """Pairs of nodes that may be linked though they are not in one component yet, among the
+    members of bands that hold several components."""
+    placed = members.join(components, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"))
+    placed = staged(placed, "placed")
+    mixed = staged(placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high").select("key"), "mixed")
+    open_ = staged(placed.join(mixed, "key", "left_semi").select("node", "component").distinct()
+                   .join(texts, "node"), "open")
+    share = min(1.0, RARITY_DOCS / max(open_.count(), 1))
+    sample = open_.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1e6))
+    counted = sample.select("text").mapInArrow(_all_shingles, "shingle long") \
+        .groupBy("shingle").agg(F.count("*").alias("n")).where("n > 2") \
+        .orderBy(F.desc("n"), "shingle").limit(RARITY_SHINGLES).toPandas()
+    order = np.argsort(counted["shingle"].to_numpy(np.int64))
+    common = members.sparkSession.sparkContext.broadcast(
+        (counted["shingle"].to_numpy(np.int64)[order], counted["n"].to_numpy(np.int64)[order]))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = common.value
+        for batch in text_chunks(batches, "text"):
+            hashes, first = shingle_sets(batch.column("text"))
+            hashes, size = hashes.view(np.int64), np.diff(first)
+            at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+            n = np.where(known[at] == hashes, times[at], 0) if len(known) \
+                else np.zeros(len(hashes), np.int64)
+            of = np.repeat(np.arange(len(size)), size)
+            place = np.lexsort((hashes, n, of))
+            rank = np.arange(len(place)) - np.repeat(first[:-1], size)
+            keep = rank <= (size - -(-size * percent // 100))[of]
+            yield pa.RecordBatch.from_pydict({
+                "node": batch.column("node").take(pa.array(of[keep])),
+                "component": batch.column("component").take(pa.array(of[keep])),
+                "shingle": pa.array(hashes[place][keep]), "at": pa.array(rank[keep], pa.int32()),
+                "size": pa.array(size[of[keep]], pa.int32())})
+
+    kind = members.schema["node"].dataType.simpleString()
+    prefixes = staged(open_.mapInArrow(
+        rarest, f"node {kind}, component {kind}, shingle long, at int, size int"), "prefixes")
+    a = prefixes.toDF("a", "ca", "shingle", "ia", "na")
+    b = prefixes.toDF("b", "cb", "shingle", "ib", "nb")
+    room = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    return a.join(b, "shingle").where(
+        (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
+        & (room * (100 + percent) >= percent * (F.col("na") + F.col("nb")))).select("a", "b").distinct()
+
+
+def _all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_chunks(batches, "text"):
+        yield pa.RecordBatch.from_pydict(
+            {"shingle": pa.array(shingle_sets(batch.column("text"))[0].view(np.int64))})
 
 
 def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
