@@ -17,8 +17,8 @@ from tickloom.llm.tokens import encode
 from tickloom.session import shared_folder, staged
 
 STRIDE = 2048
-#: Sequences of a shard: 16 MB of 16-bit ids.
-PER_SHARD = 4096
+#: Sequences of a shard: 8 MB of 16-bit ids. Text bytes of a staged chunk.
+PER_SHARD, CHUNK = 2048, 1 << 20
 _ROUNDS = 6
 
 
@@ -75,10 +75,11 @@ def write_training_order(docs: DataFrame, tokenizer: str, key: int = 2024, strid
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         press = zstandard.ZstdCompressor(level=7)
-        for batch in text_chunks(batches, "text"):
-            found = [[*ids, end_id] for ids in encode(tokenizer, batch.column("text").to_pylist())]
+        for batch in text_chunks(batches, "text", CHUNK):
+            found = [np.array([*ids, end_id], "<u2")
+                     for ids in encode(tokenizer, batch.column("text").to_pylist())]
             lengths = [len(ids) for ids in found]
-            ids = np.concatenate([np.array(x, "<u2") for x in found])
+            ids = np.concatenate(found)
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "before": pa.array([before], pa.int64()),
                 "doc_ids": pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
@@ -99,7 +100,8 @@ def write_training_order(docs: DataFrame, tokenizer: str, key: int = 2024, strid
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, unpress = zstandard.ZstdCompressor(level=7), zstandard.ZstdDecompressor()
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # one by one: a row may be large
+                [row] = batch.slice(i, 1).to_pylist()
                 ids = np.frombuffer(unpress.decompress(row["ids"]), "<u2")
                 lengths = np.array(row["lengths"], np.int64)
                 begin = starts[row["part"]] + row["before"]
@@ -137,7 +139,8 @@ def write_training_order(docs: DataFrame, tokenizer: str, key: int = 2024, strid
         here = min(per_shard, sequences - shard * per_shard)
         block = np.full((here, stride), end_id, "<u2")
         unpress, pieces = zstandard.ZstdDecompressor(), []
-        for row in table.to_pylist():
+        for i in range(table.num_rows):
+            [row] = table.slice(i, 1).to_pylist()
             ids, used = np.frombuffer(unpress.decompress(row["ids"]), "<u2"), 0
             for slot, number, at, size, doc in zip(*(row[c] for c in (
                     "slot", "sequence", "at", "size", "doc_id"))):
@@ -195,8 +198,8 @@ def read_slots(spark: SparkSession, folder: str, first: int = 0, last: int | Non
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(),
-                                      batch.column("content").to_pylist()):
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                content = batch.column("content")[i].as_buffer()
                 block = np.frombuffer(content, "<u2").reshape(-1, stride)
                 slots = shard * per_shard + np.arange(len(block))
                 keep = (slots >= first) & (slots < (last if last is not None else np.inf))
