@@ -42,7 +42,7 @@ UNKNOWN = "und"
 SLOTS, LEARN_DOCS, SWITCH, SCRIPT_SHARE = 1 << 16, 4000, 12.0, 0.01
 _GRAMS = (1, 2, 3, 4)
 #: Text bytes of a chunk: long, so that few words are scored twice.
-_CHUNK = 12 << 20
+_CHUNK = 4 << 20
 
 
 @lru_cache(maxsize=1)
