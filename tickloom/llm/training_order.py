@@ -18,7 +18,7 @@ from tickloom.session import shared_folder, staged
 
 STRIDE = 2048
 #: Sequences of a shard: 8 MB of 16-bit ids. Text bytes of a staged chunk.
-PER_SHARD, CHUNK = 2048, 1 << 20
+PER_SHARD, CHUNK = 2048, 5 << 19
 _ROUNDS = 6
 
 
