@@ -9,14 +9,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The characters [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
-#: Text bytes that one numpy kernel takes at a time.
-CHUNK = 4 << 20
+#: Text bytes that one numpy kernel takes at a time, and that an Arrow batch holds at most.
+CHUNK, BATCH = 2 << 20, 8 << 20
 
 
 def lower_ascii(text: Column) -> Column:
@@ -25,6 +25,12 @@ def lower_ascii(text: Column) -> Column:
         .otherwise(F.translate(text, UPPER, LOWER))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH`` bytes: both sides of a Python worker hold
+    one, whatever the texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], text: str,
                 limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` text bytes; a longer text is a slice of its own."""

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import mix, text_chunks
+from tickloom.llm.common import mix, small_batches, text_chunks
 
 #: First and last code point of scripts (Unicode blocks).
 SCRIPTS = {
@@ -42,7 +42,7 @@ UNKNOWN = "und"
 SLOTS, LEARN_DOCS, SWITCH, SCRIPT_SHARE = 1 << 16, 4000, 12.0, 0.01
 _GRAMS = (1, 2, 3, 4)
 #: Text bytes of a chunk: long, so that few words are scored twice.
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
 
 
 @lru_cache(maxsize=1)
@@ -149,6 +149,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     the driver gets languages times ``SLOTS`` numbers at most. Rows without text or language
     are not used; without any, the model has no language.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -240,6 +241,7 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     that no language uses is scored alike for all; a model without languages says ``und``. Repeated
     rows get equal answers. Columns of the result's names are replaced.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages times SLOTS numbers
     made = ("lang_pred", "score", "spans")
     rows = docs.drop(*made)

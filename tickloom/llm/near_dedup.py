@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import BLANKS, Words, mix, text_chunks
+from tickloom.llm.common import BLANKS, Words, mix, small_batches, text_chunks
 from tickloom.llm.components import connected_components
 from tickloom.session import staged
 
@@ -137,6 +137,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     null component and is kept; rows with the same id are one document, linked if any of its
     texts is. Columns of the result's names are replaced.
     """
+    small_batches(docs.sparkSession)
     made = ("n_shingles", "component_id", "kept")
     others = [c for c in docs.columns if c not in (*made, text_col, id_col)]
     rows = docs.select(id_col, *others, text_col)

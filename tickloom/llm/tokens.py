@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import text_chunks
+from tickloom.llm.common import small_batches, text_chunks
 
 
 def _byte_letters() -> dict[str, int]:
@@ -51,6 +51,7 @@ def with_token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: in
     """One row for each piece of at most ``capacity`` ids of a document's ids and ``end_id``:
     id, piece, start, length, ids_crc32 (of little-endian unsigned 32-bit ids). The first piece
     is the shorter one."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

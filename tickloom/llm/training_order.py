@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import file_system, mix, text_chunks
+from tickloom.llm.common import file_system, mix, small_batches, text_chunks
 from tickloom.llm.tokens import encode
 from tickloom.session import shared_folder, staged
 
@@ -69,6 +69,7 @@ def write_training_order(docs: DataFrame, tokenizer: str, key: int = 2024, strid
     an empty table has no sequence.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = folder or shared_folder(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
