@@ -65,10 +65,8 @@ class Words:
     each word, ``first`` the number of words before each text, and then the number of all.
     """
 
-    _PRIME = 0x9E3779B97F4A7C15
     _values = np.random.default_rng(20_240_601).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
     _values[ord("A"):ord("Z") + 1] = _values[ord("a"):ord("z") + 1]
-    _powers = _inverse = np.ones(1, np.uint64)
 
     def __init__(self, column: pa.Array, is_word: np.ndarray):
         data, offsets = text_bytes(column)
@@ -85,27 +83,34 @@ class Words:
         self.ends = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.begins, offsets)
         self.counts = np.diff(self.first)
-        self._grow(len(data))
         if len(self.begins):
+            up, down = powers(len(data))
             terms = np.where(is_word, self._values, np.uint64(0))[data]
-            terms *= Words._powers[:len(data)]
-            self.hashes = mix(np.add.reduceat(terms, self.begins) * Words._inverse[self.begins])
+            terms *= up[:len(data)]
+            self.hashes = mix(np.add.reduceat(terms, self.begins) * down[self.begins])
         else:
             self.hashes = np.zeros(0, np.uint64)
 
-    @classmethod
-    def _grow(cls, size: int) -> None:
-        if len(Words._powers) < size:
-            steps = np.full(size, cls._PRIME, np.uint64)
-            back = np.full(size, pow(cls._PRIME, -1, 1 << 64), np.uint64)
-            steps[0] = back[0] = 1
-            Words._powers, Words._inverse = np.cumprod(steps), np.cumprod(back)
-
     def of(self) -> np.ndarray:
         """For each word, the number of its text in the chunk."""
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
+_PRIME = 0x9E3779B97F4A7C15
+_tables = [np.ones(1, np.uint64)] * 2
+
+
+def powers(size: int) -> list[np.ndarray]:
+    """Powers of an odd number modulo 2**64, and of its inverse; one table for all of a worker's
+    kernels."""
+    if len(_tables[0]) < size:
+        for i, base in enumerate((_PRIME, pow(_PRIME, -1, 1 << 64))):
+            table = np.full((size + (1 << 18) - 1) >> 18 << 18, base, np.uint64)
+            table[0] = 1
+            _tables[i] = np.cumprod(table, out=table)
+    return _tables
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread each 64-bit value over all its bits (a bijection)."""
     x = x ^ (x >> np.uint64(32))

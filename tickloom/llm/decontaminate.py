@@ -13,7 +13,7 @@ from tickloom.llm.common import Words, small_batches, text_chunks
 from tickloom.llm.fm_index import FMIndex
 
 #: Words of a window, benchmark words of a broadcast block, text bytes of a shard.
-WINDOW, BLOCK_WORDS, SHARD = 10, 2_000_000, 4 << 20
+WINDOW, BLOCK_WORDS, SHARD = 10, 2_000_000, 2 << 20
 #: Bytes that words are made of: 0-9, letters, and all of non-ASCII characters.
 _IS_WORD = np.zeros(256, bool)
 for _first, _last in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
@@ -89,7 +89,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
 
     Words are [0-9a-z] and non-ASCII characters, A-Z lower-cased. A window is ``window``
     consecutive words of a benchmark item, or a shorter item as a whole. Each task cuts its
-    documents into shards of about 4 MB, maps benchmark words to symbols, and indexes the runs of
+    documents into shards of about 2 MB, maps benchmark words to symbols, and indexes the runs of
     symbols that are long enough to hold a window (other words match nothing). All windows are
     searched backwards through the wavelet ranks at once, their occurrences located from sampled
     suffix places, and overlapping occurrences merged into removal spans.

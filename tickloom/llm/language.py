@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import mix, small_batches, text_chunks
+from tickloom.llm.common import mix, powers, small_batches, text_chunks
 
 #: First and last code point of scripts (Unicode blocks).
 SCRIPTS = {
@@ -41,8 +41,8 @@ UNKNOWN = "und"
 #: is not its own.
 SLOTS, LEARN_DOCS, SWITCH, SCRIPT_SHARE = 1 << 16, 4000, 12.0, 0.01
 _GRAMS = (1, 2, 3, 4)
-#: Text bytes of a chunk: long, so that few words are scored twice.
-_CHUNK = 2 << 20
+#: Text bytes of a chunk (long, so that few words are scored twice), distinct words of a block.
+_CHUNK, _WORDS = 1 << 20, 16_384
 
 
 @lru_cache(maxsize=1)
@@ -86,18 +86,23 @@ class LetterWords:
         self.first = np.searchsorted(self.begins, offsets)
         self.low = lower[points].astype(np.uint64)
         # A word is known by its polynomial hash; the table below needs no more than that.
-        powers = _powers(len(points) + 1)
+        up, down = powers(len(points) + 1)
         total = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(mix(self.low + np.uint64(1)) * powers[0][:len(points)], out=total[1:])
-        hashes = mix((total[self.ends] - total[self.begins]) * powers[1][self.begins])
+        np.cumsum(mix(self.low + np.uint64(1)) * up[:len(points)], out=total[1:])
+        hashes = mix((total[self.ends] - total[self.begins]) * down[self.begins])
         _, self.example, self.which = np.unique(hashes, return_index=True, return_inverse=True)
         self.script = script[points[self.begins[self.example]]] if len(self.example) \
             else np.zeros(0, np.uint8)
 
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Slots of the n-grams of the distinct words (with their edges marked), word after word,
-        and where each word's begin."""
-        begins, ends = self.begins[self.example], self.ends[self.example]
+    def blocks(self) -> Iterator[slice]:
+        """The distinct words, some thousand at a time."""
+        return (slice(a, min(a + _WORDS, len(self.example)))
+                for a in range(0, len(self.example), _WORDS))
+
+    def grams(self, block: slice) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of the n-grams of a block of distinct words (with their edges marked), word after
+        word, and where each word's begin."""
+        begins, ends = self.begins[self.example[block]], self.ends[self.example[block]]
         sizes = ends - begins
         at = np.concatenate([[0], np.cumsum(sizes + 2)])
         marked = np.ones(at[-1], np.uint64)
@@ -118,18 +123,6 @@ class LetterWords:
         return flat, np.searchsorted(owner, np.arange(len(sizes)))
 
 
-@lru_cache(maxsize=1)
-def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
-    prime = 0xC2B2AE3D27D4EB4F
-    up, down = np.full(size, prime, np.uint64), np.full(size, pow(prime, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _power_table(1 << max(16, size.bit_length()))
-
-
 @dataclass
 class Model:
     """``table[slot, language]``: log-probabilities of n-grams. ``scripts[script, language]``:
@@ -169,10 +162,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 if not len(words.which):
                     continue
                 times = np.bincount(words.which)
-                slots, starts = words.grams()
-                sizes = np.diff(np.append(starts, len(slots)))
                 into = sums.setdefault(lang, np.zeros(SLOTS + len(SCRIPTS) + 1, np.int64))
-                into[:SLOTS] += np.bincount(slots, np.repeat(times, sizes), SLOTS).astype(np.int64)
+                for block in words.blocks():
+                    slots, starts = words.grams(block)
+                    sizes = np.diff(np.append(starts, len(slots)))
+                    into[:SLOTS] += np.bincount(
+                        slots, np.repeat(times[block], sizes), SLOTS).astype(np.int64)
                 into[SLOTS:] += np.bincount(words.script, times, len(SCRIPTS) + 1).astype(np.int64)
         for lang, into in sums.items():
             used = np.flatnonzero(into)
@@ -267,8 +262,10 @@ def _decide(words: LetterWords, model: Model, switch: float, spans: bool):
         empty = pa.array([[]] * texts, pa.list_(pa.struct(
             [("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))
         return [UNKNOWN] * texts, np.zeros(texts), empty
-    slots, starts = words.grams()
-    each = np.add.reduceat(model.table[slots], starts)
+    each = np.empty((len(words.example), count), np.float32)
+    for block in words.blocks():
+        slots, starts = words.grams(block)
+        each[block] = np.add.reduceat(model.table[slots], starts)
     allowed = model.scripts[words.script]
     each = np.where(allowed | ~allowed.any(1, keepdims=True), each, each.min() - 1000)
     each[~allowed.any(1)] = 0
