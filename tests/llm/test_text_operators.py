@@ -150,8 +150,8 @@ def test_decontaminate_cases(spark, odd, empty):
     for r in whole:
         n, hit, held = leaks(r["text"], items)
         assert (r["n_words"], r["n_hit"], r["items"]) == (n, len(hit), held)
-    cut = {r["doc_id"]: r["text"] for r in decontaminate.cut_spans(
-        decontaminate.find_leaks(odd, bench)).collect()}
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.find_leaks(
+        odd, bench, block_words=1, cut=True).collect()}
     assert cut[11] == "a \n n" and cut[7] == "\n" and cut[0] is None
     assert decontaminate.find_leaks(odd, bench.limit(0)).where("contaminated").count() == 0
     assert decontaminate.find_leaks(empty, bench).count() == 0

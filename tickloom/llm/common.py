@@ -34,6 +34,7 @@ def small_batches(spark: SparkSession) -> None:
 def text_chunks(batches: Iterator[pa.RecordBatch], text: str,
                 limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` text bytes; a longer text is a slice of its own."""
+    pa.set_memory_pool(pa.system_memory_pool())  # a worker lives on; let it give memory back
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -83,7 +83,7 @@ def phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int,
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
                item_text_col: str = "text", text_col: str = "text", window: int = WINDOW,
-               block_words: int = BLOCK_WORDS) -> DataFrame:
+               block_words: int = BLOCK_WORDS, cut: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``hits`` (removal spans), ``items`` and
     ``contaminated``.
 
@@ -97,7 +97,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
     The benchmark goes to the tasks in broadcast blocks of ``block_words`` words; a larger one
     takes several passes over the shards, all in the same stage. Documents are not shuffled.
 
-    ``hits``: array of (start, end), UTF-8 byte places of merged runs of hit words, in order.
+    ``hits``: array of (start, end), UTF-8 byte places of merged runs of hit words, in order. With
+    ``cut`` these are cut out of the text; each leaves a line end, so that the words around it do
+    not become neighbours on a line.
     ``items``: ids of the items with a window in the text, as strings in order. Defined cases:
     null and empty texts have no words and no hit; items without text or words match nothing; an
     empty benchmark hits nothing; repeated rows get equal answers. Columns of the result's names
@@ -111,8 +113,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
         "items": F.array().cast("array<string>")})
     blocks = list(phrase_blocks(benchmark, id_col, item_text_col, window, block_words)) \
         or [Phrases([], [], window)]
-    for phrases in blocks:
-        out = _pass(out, docs.sparkSession.sparkContext.broadcast(phrases), text_col)
+    for number, phrases in enumerate(blocks, 1):
+        out = _pass(out, docs.sparkSession.sparkContext.broadcast(phrases), text_col,
+                    cut and number == len(blocks))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["words"])
     return out.withColumns({
         "n_hit": n_hit, "contaminated": F.size("hits") > 0,
@@ -120,7 +123,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
         "items": F.array_sort(F.array_distinct("items"))})
 
 
-def _pass(docs: DataFrame, shared, text_col: str) -> DataFrame:
+def _pass(docs: DataFrame, shared, text_col: str, cut: bool) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shared.value
         for batch in text_chunks(batches, text_col, SHARD):
@@ -133,6 +136,10 @@ def _pass(docs: DataFrame, shared, text_col: str) -> DataFrame:
             columns["n_words"] = pa.array(words.counts, pa.int64())
             columns["hits"] = pa.array(spans, batch.schema.field("hits").type)
             columns["items"] = pa.array(texts, batch.schema.field("items").type)
+            if cut and any(spans):
+                columns[text_col] = pa.array(
+                    [_without(t, s) for t, s in zip(batch.column(text_col).to_pylist(), spans)],
+                    columns[text_col].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return docs.mapInArrow(search, docs.schema)
@@ -197,23 +204,11 @@ def _spans(words: Words, hit: np.ndarray, old: list[list[dict]]) -> list[list[di
     return out
 
 
-def cut_spans(docs: DataFrame, text_col: str = "text", spans_col: str = "hits") -> DataFrame:
-    """``docs`` with the spans (UTF-8 byte places, in order) cut out of the text. Each leaves a
-    line end, so that the words around it do not become neighbours on a line."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for text, spans in zip(batch.column(text_col).to_pylist(),
-                                   batch.column(spans_col).to_pylist()):
-                if spans and text is not None:
-                    data, at, left = text.encode(), 0, []
-                    for span in spans:
-                        left.append(data[at:span["start"]])
-                        at = span["end"]
-                    text = b"\n".join([*left, data[at:]]).decode()
-                texts.append(text)
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            columns[text_col] = pa.array(texts, columns[text_col].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    return docs.mapInArrow(cut, docs.schema)
+def _without(text: str | None, spans: list[dict]) -> str | None:
+    if not spans:
+        return text
+    data, at, left = text.encode(), 0, []
+    for span in spans:
+        left.append(data[at:span["start"]])
+        at = span["end"]
+    return b"\n".join([*left, data[at:]]).decode()
