@@ -44,8 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out of the texts; the rest of the document stays."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return _sized(decontaminate.cut_spans(found))
+    return _sized(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), cut=True))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
