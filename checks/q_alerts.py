@@ -13,7 +13,7 @@ from tickloom.operators import alerts as al, anomalies as an, lookups as lk
 from tickloom.sinks.tables import alert_history
 
 ALERTS = METRICS + """,
-al0 AS (SELECT *, coalesce(abs(price_change_percent) > 200, false) AS extreme,
+al0 AS (SELECT *, coalesce(abs(price_change_percent) > 10, false) AS extreme,
   coalesce(volume_ratio > 5, false) AS spike,
   CASE day(ts) WHEN 10 THEN 'system_event' WHEN 20 THEN 'user_threshold_alert'
     ELSE 'financial_anomaly' END AS alert_type,
@@ -59,7 +59,7 @@ matched AS (SELECT a.alert_id, a.symbol, a.ts, a.severity, u.user_id, u.channels
 
 def alerts(spark, sf):
     quoted = lk.quote_metrics(bars(spark, sf)).withColumn("price", F.col("close"))
-    found = an.event_anomalies(quoted, move=200.0).filter("anomaly_detected")
+    found = an.event_anomalies(quoted).filter("anomaly_detected")
     day = F.dayofmonth("ts")
     return al.classify_alert(found.withColumns({
         "alert_type": F.when(day == 10, "system_event").when(day == 20, "user_threshold_alert")
@@ -122,7 +122,7 @@ def _(spark, sf):
     head = F.regexp_replace(F.regexp_replace("formatted_message", "(?s)\n⚠.*$", ""), ",", "")
     return out.select("alert_id", "display_title", head.alias("message_head"),
                       F.when(F.col("action_items").isNotNull(), F.size("action_items"))
-                      .alias("actions"), F.col("links.news").alias("news"))
+                      .alias("actions"), F.col("links.news_search").alias("news"))
 
 
 @query("match_alert_users", with_ctes(BARS, ALERTS, USERS, MATCHED, body="""
@@ -135,10 +135,10 @@ def _(spark, sf):
 
 
 @query("rate_limit_alerts", with_ctes(BARS, ALERTS, USERS, MATCHED, """
-rl AS (SELECT *, lag(ts) OVER (PARTITION BY user_id, symbol ORDER BY ts) AS before
-       FROM matched)""", body="""
+rl AS (SELECT user_id, symbol, min(ts) AS ts FROM matched
+       GROUP BY user_id, symbol, floor(epoch(ts) / (7 * 86400)))""", body="""
 SELECT user_id, symbol, count(*) AS notifications, max(ts) AS last_ts FROM rl
-WHERE before IS NULL OR ts >= before + INTERVAL 7 DAY GROUP BY user_id, symbol"""))
+GROUP BY user_id, symbol"""))
 def _(spark, sf):
     limited = al.rate_limit_alerts(
         matched(spark, sf).select("user_id", "symbol", "ts"), "7 DAYS")

@@ -129,10 +129,12 @@ def test_audience_equals_the_nested_loop(spark):
 
 
 def test_rate_limit(spark):
-    rows = [(1, "A", T0 + dt.timedelta(minutes=m)) for m in (0, 10, 80, 90, 200)]
-    out = alerts.rate_limit_alerts(spark.createDataFrame(
-        rows, "user_id int, symbol string, ts timestamp_ntz"), "1 HOUR")
-    assert sorted(r.ts.hour * 60 + r.ts.minute - 720 for r in out.collect()) == [0, 80, 200]
+    """A dense run: alerts every 30 minutes for ten hours give one notification an hour."""
+    rows = spark.sql("""SELECT 1L AS user_id, 'A' AS symbol, TIMESTAMP_NTZ'2024-01-01 00:00:00'
+        + make_dt_interval(0, 0, 30 * CAST(id AS INT)) AS ts, CAST(id AS STRING) AS alert_id
+        FROM range(20)""")
+    out = alerts.rate_limit_alerts(rows, "1 hour").orderBy("ts").collect()
+    assert [r["alert_id"] for r in out] == [str(i) for i in range(0, 20, 2)]
 
 
 def test_latest_keeps_ties(spark):

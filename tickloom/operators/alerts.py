@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numeric import fixed, ratio
-from tickloom.operators.series import Series
 
 # Alert limits.
 CRITICAL_MOVE, MAJOR_MOVE, CRITICAL_SPIKE = 15.0, 10.0, 10.0
-SEVERITY_RANK = {"info": 1, "warning": 2, "critical": 3}
 SMS_CHARS = 150
 
-# Recommended actions by severity, and link patterns.
+# Recommended actions by severity, and link templates.
 ACTIONS = {
     "critical": ["Vérifier les actualités récentes pour ce symbole",
                  "Examiner les volumes de trading anormaux",
@@ -21,9 +19,11 @@ ACTIONS = {
                 "Vérifier les indicateurs techniques"],
     "info": ["Information à noter pour analyse future"],
 }
-QUOTE_LINK = "https://finance.yahoo.com/quote/"
-SECOND_LINK, SECOND_TAIL = "https://www.google.com/finance/quote/", ":NASDAQ"
-NEWS_LINK, NEWS_TAIL = "https://www.google.com/search?q=", "+stock+news"
+LINKS = {
+    "yahoo_finance": "https://finance.yahoo.com/quote/{symbol}",
+    "google_finance": "https://www.google.com/finance/quote/{symbol}:NASDAQ",
+    "news_search": "https://www.google.com/search?q={symbol}+stock+news",
+}
 
 
 def severity_rank(name: str | Column) -> Column:
@@ -79,9 +79,9 @@ def enrich_alert(classified: DataFrame) -> DataFrame:
         "formatted_message": F.when(market, F.concat_ws("\n", *lines)),
         "action_items": F.when(market, actions),
         "links": F.struct(
-            F.concat(F.lit(QUOTE_LINK), symbol).alias("quote"),
-            F.concat(F.lit(SECOND_LINK), symbol, F.lit(SECOND_TAIL)).alias("second"),
-            F.concat(F.lit(NEWS_LINK), F.url_encode(symbol), F.lit(NEWS_TAIL)).alias("news"))})
+            *[F.replace(F.lit(link), F.lit("{symbol}"),
+                        F.url_encode(symbol) if name == "news_search" else symbol).alias(name)
+              for name, link in LINKS.items()])})
 
 
 def sms_text(alerts: DataFrame) -> Column:
@@ -124,17 +124,15 @@ def match_alert_users(alerts: DataFrame, users: DataFrame, salts: int = 16) -> D
             .drop("_salt", "_all", "_sym"))
 
 
-PAIRS = Series(keys=("user_id", "symbol"), unit="YEAR")
-
-
-def rate_limit_alerts(matched: DataFrame, gap: str = "1 HOUR", series: Series = PAIRS) -> DataFrame:
-    """Notifications at least ``gap`` after the previous one for the same user and symbol."""
-    def step(df: DataFrame, s: Series) -> DataFrame:
-        before = s.lag("ts")
-        return df.withColumn("_pass", before.isNull()
-                             | (F.col("ts") >= before + F.expr(f"INTERVAL {gap}")))
-
-    return series.run(matched, 1, step).filter("_pass").drop("_pass")
+def rate_limit_alerts(matched: DataFrame, period: str = "1 hour") -> DataFrame:
+    """The first notification of each user and symbol in each period, the same on tables and on
+    streams with a watermark. It is a minimum per group, combined before the shuffle, so a pair
+    with very many alerts is no large group."""
+    row = F.struct("ts", *[c for c in matched.columns if c != "ts"])
+    return (matched.groupBy("user_id", "symbol", F.window("ts", period))
+            .agg(F.min_by(row, F.struct("ts", *[c for c in ("alert_id",) if c in matched.columns]))
+                 .alias("_first"))
+            .select(*[F.col(f"_first.{c}").alias(c) for c in matched.columns]))
 
 
 def notification_plan(matched: DataFrame) -> DataFrame:

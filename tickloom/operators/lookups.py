@@ -7,27 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tickloom.functions.numeric import fixed, percent, ratio
 from tickloom.operators.series import DAILY, Series
 
-# The monitored universe, by sector.
-UNIVERSE = {
-    "tech": "AAPL GOOGL MSFT AMZN META NVDA TSLA NFLX ORCL CRM IBM INTC AMD UBER SNAP",
-    "finance": "JPM BAC WFC GS MS C USB PNC TFC COF",
-    "healthcare": "JNJ PFE UNH MRCK ABT TMO DHR BMY ABBV LLY",
-    "energy": "XOM CVX COP EOG SLB PSX VLO MPC OXY KMI",
-    "consumer": "PG KO PEP WMT HD MCD DIS NKE SBUX TGT",
-    "indices": "SPY QQQ IWM DIA VTI VXUS EFA EEM VWO AGG",
-    "commodities": "GLD SLV USO UNG DBA DBC PDBC GSG BCI UUP",
-    "crypto_related": "COIN MARA RIOT CLSK BITF CAN HIVE ARBK BTBT SOS",
-}
-PRIORITY = "AAPL GOOGL MSFT AMZN TSLA META NVDA SPY QQQ GLD"
-
-
-def universe_table(spark) -> DataFrame:
-    """symbol, sector, priority: the fixed universe, under a hundred rows."""
-    first = set(PRIORITY.split())
-    rows = [(s, sector, s in first) for sector, names in UNIVERSE.items() for s in names.split()]
-    return spark.createDataFrame(rows, "symbol string, sector string, priority boolean")
-
-
 def latest_per_symbol(df: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFrame:
     """Rows at the newest time of each symbol, ties kept.
 
@@ -91,10 +70,13 @@ def add_metadata(df: DataFrame, metadata: DataFrame, key: str = "symbol") -> Dat
 
 
 def filter_universe(df: DataFrame, universe: DataFrame, top: int | None = None) -> DataFrame:
-    """Rows of monitored symbols without the ``.TO`` listings; ``top`` limits the symbols."""
-    wanted = universe.select("symbol").distinct()
+    """Rows of monitored symbols without the ``.TO`` listings; ``top`` keeps the first symbols of
+    the listing (its ``position``, where it has one, then the symbol)."""
+    order = F.min("position") if "position" in universe.columns else F.lit(0)
+    wanted = universe.groupBy("symbol").agg(order.alias("_at"))
     if top is not None:
-        wanted = wanted.orderBy("symbol").limit(top)
+        wanted = wanted.orderBy("_at", "symbol").limit(top)
+    wanted = wanted.select("symbol")
     return df.filter(~F.col("symbol").endswith(".TO")).join(wanted, "symbol", "left_semi")
 
 

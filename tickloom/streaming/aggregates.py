@@ -45,11 +45,6 @@ def stream_dedup(stream: DataFrame, delay: str, keys: tuple[str, ...] = ("symbol
     return with_watermark(stream, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def rate_limit_stream(alerts: DataFrame, gap: str) -> DataFrame:
-    """One notification per user and symbol within ``gap`` of event time."""
-    return with_watermark(alerts, gap).dropDuplicatesWithinWatermark(["user_id", "symbol"])
-
-
 def threshold_alarm(metrics: DataFrame, limit: float, length: str = "300 seconds",
                     periods: int = 2, by: str = "stream", series: Series | None = None
                     ) -> DataFrame:

@@ -82,9 +82,11 @@ def fan_out(stream: DataFrame, outputs: dict, checkpoint: str, every: str | None
     """
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        for path, make in outputs.items():
-            make(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
-        batch.unpersist()
+        try:
+            for path, make in outputs.items():
+                make(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        finally:
+            batch.unpersist()
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
