@@ -168,3 +168,30 @@ def test_forest_finds_outliers_and_reloads(spark, tmp_path):
     same = isolation.score(df, again).toPandas().set_index("id")["isolation_score"]
     np.testing.assert_allclose(same.sort_index(),
                                out.set_index("id")["isolation_score"].sort_index())
+
+
+@pytest.mark.parametrize("keys", [(), ("symbol",)])
+def test_numbering_deals_rows_evenly(bars, keys):
+    s = Series(keys=keys, unit="YEAR", ties=() if keys else ("symbol",), block_rows=50)
+    sizes = [r["count"] for r in s.dealt(bars).groupBy(*keys, "_slice").count().collect()]
+    assert sum(sizes) == 761 and max(sizes) <= 2 * s.block_rows
+    out = s.numbered(bars).toPandas().sort_values(["symbol", "ts"])
+    if keys:
+        want = out.groupby("symbol").cumcount()
+    else:
+        want = out.sort_values(["ts", "symbol"]).assign(n=range(761))["n"].reindex(out.index)
+    assert (out["_at"] == want).all()
+    assert (out["_total"] == (out.groupby("symbol")["ts"].transform("size") if keys else 761)).all()
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_crowded_slices_are_cut(bars, exact):
+    s = Series(unit="YEAR", fine="MONTH", block_rows=10)
+    whole = s.spread(bars, 4, exact=exact)
+    sizes = [r["count"] for r in whole.groupBy("symbol", "_block").count().collect()]
+    assert max(sizes) <= 30  # two blocks and the rows looked back to
+    own = s.own(whole)
+    assert own.count() == 761 and own.columns == bars.columns
+    pd.testing.assert_frame_equal(
+        frame(s.run(bars, 20, ind.batch_step), "sma_20"),
+        frame(Series(block_rows=1_000_000, unit="YEAR").run(bars, 20, ind.batch_step), "sma_20"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickloom.functions.numeric import ratio
 from tickloom.operators.quantiles import exact_quantiles
 from tickloom.operators.series import DAILY, Series
+from tickloom.session import staged
 
 FEATURES = ("price", "volume", "price_change", "volume_change", "volatility")
 
@@ -81,6 +82,7 @@ def zscore_global(features: DataFrame, cols=FEATURES, limit: float = 3.0) -> Dat
 
 def iqr_outliers(features: DataFrame, cols=FEATURES, width: float = 1.5) -> DataFrame:
     """Rows outside Q1 - width*IQR .. Q3 + width*IQR, per feature, quartiles interpolated."""
+    # Only the columns' own values are needed for the quartiles.
     long = features.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
         for c in cols])).alias("f")).select("f.*")
@@ -100,8 +102,9 @@ def iqr_outliers(features: DataFrame, cols=FEATURES, width: float = 1.5) -> Data
 
 
 def statistical_anomalies(features: DataFrame, cols=FEATURES) -> DataFrame:
-    """Any z or IQR flag; the score is the largest |z|."""
-    out = iqr_outliers(zscore_global(features, cols), cols)
+    """Any z or IQR flag; the score is the largest |z|. The features are staged once, as means,
+    quartiles and rows each read them."""
+    out = iqr_outliers(zscore_global(staged(features, "features"), cols), cols)
     flag = F.lit(False)
     for c in cols:
         flag = flag | F.col(f"{c}_anomaly_zscore") | F.col(f"{c}_anomaly_iqr")

@@ -11,6 +11,7 @@ scale factors inside the range of a double.
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -42,7 +43,7 @@ def spread_for(df: DataFrame, series: Series, periods: list[int], chain: list[in
     """Spread for averages of ``periods``; ``chain`` are averages taken of those averages."""
     cut = min(block_limit(*periods, *chain), series.block_rows)
     back = max(before, max(reach(p) for p in periods) + sum(reach(p) for p in chain) + 2)
-    sized = Series(series.keys, series.ts, series.unit, cut)
+    sized = replace(series, block_rows=cut)
     return sized.spread(df, back, exact=True), sized
 
 

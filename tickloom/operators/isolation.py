@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tickloom.operators.quantiles import exact_quantiles
+from tickloom.session import staged
 
 NODES = ("tree int, node int, feature int, split double, left int, right int, length double, "
          "size int")
@@ -149,7 +150,9 @@ def score(df: DataFrame, forest: Forest) -> DataFrame:
 
 
 def flag(scored: DataFrame, contamination: float = 0.1) -> DataFrame:
-    """Flag the given share of rows: the score minus its exact cut is the anomaly score."""
+    """Flag the given share of rows: the score minus its exact cut is the anomaly score. The
+    scores are staged, so that the forest runs once."""
+    scored = staged(scored, "scores")
     one = scored.select(F.lit(0).alias("g"), "isolation_score")
     cut = (exact_quantiles(one, ["g"], "isolation_score", [1.0 - contamination], few_keys=True)
            .agg(F.max(F.col("quantiles")[0]).alias("cut")).scalar())

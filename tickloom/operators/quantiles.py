@@ -3,14 +3,17 @@
 ``percentile`` keeps every distinct value of a group in one buffer and so fails on a hot
 group. Here a sketch of fixed size brackets each wanted rank first; its error bound is
 guaranteed, so the exact order statistics lie inside the bracket. Only rows inside are then
-counted per value, which leaves under a thousandth of a group to be ordered.
+counted per value, which leaves under a thousandth of a group to be ordered, and of that only
+the bin that holds the rank. A rank outside its bracket is an error, never a wrong value.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ACCURACY = 10_000
+from tickloom.session import staged
+
+ACCURACY, BINS = 10_000, 4096
 
 
 def _bracket(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
@@ -23,7 +26,8 @@ def _bracket(df: DataFrame, keys: list[str], value: str, probs: list[float]) ->
         F.percentile_approx(value, asked, ACCURACY).alias("q"),
         F.min(value).alias("least"), F.max(value).alias("most"))
     # The slack is four times the sketch's error; over ACCURACY rows that also covers the two
-    # ranks an interpolated quantile needs. Smaller groups are counted whole.
+    # ranks an interpolated quantile needs. With fewer rows it may be less than a rank, so there
+    # the bracket is the whole group. Either way the ranks found are checked further down.
     small = F.col("rows") <= ACCURACY
     marks = F.array(*[F.struct(
         F.lit(i).alias("i"),
@@ -52,18 +56,42 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     # one map-side combined aggregate (rows below share the NULL value).
     joined = data.join(marks, keys).filter("v <= high")
     inside = F.when(F.col("v") >= F.col("low"), F.col("v"))
-    counted = (joined.groupBy(*keys, "rows", "i", "rank", inside.alias("x"))
+    counted = (joined.groupBy(*keys, "rows", "i", "rank", "low", "high", inside.alias("x"))
                .agg(F.count(F.lit(1)).alias("n")))
-    upto = (Window.partitionBy(*keys, "i").orderBy(F.col("x").asc_nulls_first())
-            .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counted.withColumn("upto", F.sum("n").over(upto))
+    counted = staged(counted, "counted")
+    # Ranks in two steps, so that no task orders a whole bracket: which of BINS equal widths of
+    # the bracket holds the rank, then which value inside it.
+    slot = F.when(F.col("x").isNull(), -1).when(F.col("high") > F.col("low"), F.least(
+        F.floor((F.col("x") - F.col("low")) / (F.col("high") - F.col("low")) * BINS),
+        F.lit(BINS - 1))).otherwise(0).cast("int")
+    counted = counted.withColumn("bin", slot)
+    group = [*keys, "i"]
+    before = (Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    bins = (counted.groupBy(*group, "rank", "bin").agg(F.sum("n").alias("n"))
+            .withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))))
     low_rank, high_rank = F.floor("rank"), F.ceil("rank")
 
+    def inside_bin(rank: Column) -> Column:
+        return (F.col("base") <= rank) & (rank < F.col("base") + F.col("n"))
+
+    wanted = bins.filter((F.col("bin") >= 0) & (inside_bin(low_rank) | inside_bin(high_rank))) \
+        .select(*group, "bin", "base")
+    upto = (Window.partitionBy(*group, "bin").orderBy("x")
+            .rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.join(wanted, [*group, "bin"]).withColumn(
+        "upto", F.col("base") + F.sum("n").over(upto))
+
     def at(rank: Column) -> Column:
-        return F.min(F.when((F.col("upto") > rank) & F.col("x").isNotNull(), F.col("x")))
+        hit = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+        return F.min(F.when(hit, F.col("x")))
 
-    picked = ranked.groupBy(*keys, "rows", "i", "rank").agg(
-        at(low_rank).alias("a"), at(high_rank).alias("b"))
+    marks = bins.select(*group, "rank").distinct()
+    picked = marks.join(ranked.groupBy(*group).agg(
+        at(low_rank).alias("a"), at(high_rank).alias("b"), F.max("rows").alias("rows")),
+        group, "left")
+    missed = F.raise_error(F.lit("a quantile lies outside the bracket of its sketch"))
+    picked = picked.withColumns({c: F.when(F.col(c).isNull(), missed.cast("double"))
+                                .otherwise(F.col(c)) for c in "ab"})
     point = F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - low_rank)
     return (picked.groupBy(*keys, "rows")
             .agg(F.sort_array(F.collect_list(F.struct("i", point.alias("q")))).alias("qs"))
