@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks.fixtures import BARS, bars, r, rounded, rounded_sql, rsql, with_ctes
 from checks.q_indicators import W, ema_adjusted_sql, frame
@@ -10,7 +10,7 @@ from checks.registry import query
 from tickloom.functions.times import latest
 from tickloom.operators import (alerts as al, anomalies as an, features as ft, forecast as fc,
                                 isolation, summaries as sm, topk)
-from tickloom.session import shared_folder
+from tickloom.session import shared_folder, staged
 from tickloom.sinks.tables import run_row
 
 
@@ -323,46 +323,82 @@ def training_table(spark, sf):
     return spark.read.parquet(path)
 
 
-def scored_by(model, df, name, target):
-    return fc.evaluate(fc.apply_model(model, df), target, name).withColumn("model", F.lit(name))
+def union(parts):
+    out = None
+    for part in parts:
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def split_table(spark, sf):
+    """The training table with ``is_train`` for the first 80 % of each series, written once."""
+    return staged(ft.chronological_split(training_table(spark, sf), 0.8), "split")
 
 
 @query("linear_forecast")
 def _(spark, sf):
-    table = training_table(spark, sf)
-    out = None
+    """Fitted on the earlier part of each series, scored on both parts, for every horizon."""
+    table = split_table(spark, sf)
+    parts = []
     for h in H:
         target = f"price_change_{h}d"
-        part = scored_by(fc.fit_linear(table, target), table, "linear", target).withColumn(
-            "horizon", F.lit(h))
-        out = part if out is None else out.unionByName(part)
-    return out
+        model = fc.fit_linear(table.filter("is_train"), target)
+        parts.append(fc.evaluate(fc.apply_model(model, table), target, "linear", "is_train")
+                     .withColumn("horizon", F.lit(h)))
+    return union(parts)
 
 
 @query("ridge_forecast")
 def _(spark, sf):
-    table = training_table(spark, sf)
-    out = None
-    for alpha in (1.0, 0.5, 2.0):
-        part = scored_by(fc.fit_ridge(table, "price_change_5d", alpha), table, "ridge",
-                         "price_change_5d").withColumn("alpha", F.lit(alpha))
-        out = part if out is None else out.unionByName(part)
-    return out
+    table = split_table(spark, sf)
+    parts = []
+    for h in H:
+        target = f"price_change_{h}d"
+        for alpha in (1.0, 0.5, 2.0):
+            model = fc.fit_ridge(table.filter("is_train"), target, alpha)
+            parts.append(fc.evaluate(fc.apply_model(model, table), target, "ridge", "is_train")
+                         .withColumns({"alpha": F.lit(alpha), "horizon": F.lit(h)}))
+    return union(parts)
+
+
+@query("predict_latest", with_ctes(PRICES, PF, body="""
+SELECT symbol, max(ts) AS ts, horizon, model, true AS consistent FROM pf,
+  (SELECT unnest([1, 5, 10, 20]) AS horizon),
+  (SELECT unnest(['linear', 'ridge', 'moving_average', 'ensemble']) AS model)
+GROUP BY symbol, horizon, model"""))
+def _(spark, sf):
+    """Rows of every horizon and model; each price must follow from its change, and the ensemble
+    from its members."""
+    table = staged(fc.moving_average_forecast(training_table(spark, sf)), "features")
+    parts = []
+    for h in H:
+        target = f"price_change_{h}d"
+        models = {"linear": fc.fit_linear(table, target), "ridge": fc.fit_ridge(table, target)}
+        parts.append(fc.predict_latest(table, models, h).withColumn(
+            "model", F.regexp_replace("model", "^ma_.*", "moving_average")))
+    out = union(parts)
+    change = F.col("predicted_change_pct")
+    mean = F.avg(F.when(F.col("model") != "ensemble", change)).over(
+        Window.partitionBy("symbol", "horizon"))  # four rows each
+    priced = F.abs(F.col("predicted_price") - F.col("price") * (1 + change / 100))
+    follows = (priced <= 1e-9 * F.col("price")) & F.when(
+        F.col("model") == "ensemble", F.abs(change - mean) <= 1e-9).otherwise(True)
+    return out.select("symbol", "ts", "horizon", "model", follows.alias("consistent"))
 
 
-@query("predict_latest")
+@query("time_series_cv")
 def _(spark, sf):
-    table = fc.moving_average_forecast(training_table(spark, sf))
-    models = {"linear": fc.fit_linear(table, "price_change_5d"),
-              "ridge": fc.fit_ridge(table, "price_change_5d")}
-    return fc.predict_latest(table, models, 5)
+    folded = staged(fc.assign_folds(training_table(spark, sf)), "folds")
+    return union(fc.cross_validate(folded, f"price_change_{h}d").withColumn("horizon", F.lit(h))
+                 for h in H)
 
 
-@query("time_series_cv")
+@query("time_series_cv_summary")
 def _(spark, sf):
-    path = shared_folder(spark)
-    fc.assign_folds(training_table(spark, sf)).write.parquet(path)
-    return fc.cross_validate(spark.read.parquet(path), "price_change_5d")
+    """Mean and deviation over the folds, per horizon."""
+    folded = staged(fc.assign_folds(training_table(spark, sf)), "folds")
+    return union(fc.fold_summary(fc.cross_validate(folded, f"price_change_{h}d"))
+                 .withColumn("horizon", F.lit(h)) for h in H)
 
 
 @query("time_series_folds", with_ctes(PRICES, """
@@ -376,9 +412,14 @@ def _(spark, sf):
 
 @query("forest_regressor")
 def _(spark, sf):
-    split = ft.chronological_split(training_table(spark, sf), 0.8)
-    model = fc.fit_forest(split.filter("is_train"), "price_change_5d")
-    return fc.evaluate(fc.apply_model(model, split), "price_change_5d", "forest", "is_train")
+    split = split_table(spark, sf)
+    parts = []
+    for h in H:
+        target = f"price_change_{h}d"
+        model = fc.fit_forest(split.filter("is_train"), target)
+        parts.append(fc.evaluate(fc.apply_model(model, split), target, "forest", "is_train")
+                     .withColumn("horizon", F.lit(h)))
+    return union(parts)
 
 
 @query("model_persist", with_ctes(PRICES, PF, body="""
