@@ -432,7 +432,17 @@ def _(spark, sf):
                                   labels.prediction_confidence(change).alias("confidence"))
 
 
-@query("partition_key")
+def bucket_sql(value: str, n: int) -> str:
+    return f"(('0x' || substr(md5({value}), 1, 8))::BIGINT % {n})::VARCHAR"
+
+
+@query("partition_key", with_ctes(TICKS, body=f"""
+SELECT id, CASE id % 3
+  WHEN 0 THEN 'symbol_' || symbol || '_' || lpad({bucket_sql('symbol', 100)}, 2, '0')
+  WHEN 1 THEN 'crypto_' || symbol || '_'
+    || lpad({bucket_sql("strftime(ts, '%Y%m%d%H%M')", 100)}, 2, '0')
+  ELSE 'event_' || lower(symbol) || '_' || {bucket_sql('lower(symbol)', 10)} END AS partition_key
+FROM ticks"""))
 def _(spark, sf):
     t = ticks(spark, sf)
     stream = (F.when(F.col("id") % 3 == 0, "financial").when(F.col("id") % 3 == 1, "crypto")
