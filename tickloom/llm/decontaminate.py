@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import Words, small_batches, text_chunks
 from tickloom.llm.fm_index import FMIndex
+from tickloom.session import staged
 
 #: Words of a window, benchmark words of a broadcast block, text bytes of a shard.
 WINDOW, BLOCK_WORDS, SHARD = 10, 2_000_000, 2 << 20
@@ -94,8 +95,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
     searched backwards through the wavelet ranks at once, their occurrences located from sampled
     suffix places, and overlapping occurrences merged into removal spans.
 
-    The benchmark goes to the tasks in broadcast blocks of ``block_words`` words; a larger one
-    takes several passes over the shards, all in the same stage. Documents are not shuffled.
+    The benchmark goes to the tasks in broadcast blocks of ``block_words`` words, of which the
+    driver holds two and a task one at a time; a larger benchmark takes several passes over the
+    shards, written in between. Documents are not shuffled.
 
     ``hits``: array of (start, end), UTF-8 byte places of merged runs of hit words, in order. With
     ``cut`` these are cut out of the text; each leaves a line end, so that the words around it do
@@ -111,11 +113,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
     out = docs.drop(*made).withColumns({
         "n_words": F.lit(0).cast("long"), "hits": F.array().cast(kind),
         "items": F.array().cast("array<string>")})
-    blocks = list(phrase_blocks(benchmark, id_col, item_text_col, window, block_words)) \
-        or [Phrases([], [], window)]
-    for number, phrases in enumerate(blocks, 1):
-        out = _pass(out, docs.sparkSession.sparkContext.broadcast(phrases), text_col,
-                    cut and number == len(blocks))
+    blocks = phrase_blocks(benchmark, id_col, item_text_col, window, block_words)
+    phrases = next(blocks, None) or Phrases([], [], window)
+    while phrases is not None:
+        shared, phrases = docs.sparkSession.sparkContext.broadcast(phrases), next(blocks, None)
+        out = _pass(out, shared, text_col, cut and phrases is None)
+        if phrases is not None:  # a task holds one block: this one goes before the next comes
+            out = staged(out, "pass")
+            shared.destroy()
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["words"])
     return out.withColumns({
         "n_hit": n_hit, "contaminated": F.size("hits") > 0,
