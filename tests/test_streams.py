@@ -78,7 +78,7 @@ def test_windows_late_rows_and_open_end(spark, ticks, tmp_path):
     land(spark, late, tmp_path / "in", 1)
 
     def shaped(df):
-        return df.withColumns({"market": F.lit("m"), "price_change_pct": F.lit(0.5),
+        return df.withColumns({"market": F.lit("m"), "price_change_pct": F.lit(0.5), "volatility": F.lit(1.0),
                                "is_anomaly": F.lit(False)})
 
     out = agg.market_windows(agg.with_watermark(shaped(stream_of(spark, tmp_path / "in")),
@@ -115,6 +115,40 @@ def test_fan_out_and_failures_surface(spark, ticks, tmp_path):
     jobs.to_console(stream_of(spark, tmp_path / "in").limit(1), f"{base}/c", None).awaitTermination()
 
 
+def test_rejected_text_is_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "price_data.json").write_text('{"symbol": "A", "close": 1.5}\nnot json\n')
+    base = str(tmp_path)
+    for _ in range(2):  # the second run finds nothing new
+        jobs.load_incrementally(spark, f"{base}/in", f"{base}/out", f"{base}/s").awaitTermination()
+    assert [r.close for r in spark.read.parquet(f"{base}/out/loaded").collect()] == [1.5]
+    assert [r._corrupt_record for r in spark.read.parquet(f"{base}/out/rejected").collect()] == [
+        "not json"]
+
+
+def test_serving_table_keeps_newest_and_expires(spark, tmp_path):
+    day = dt.timedelta(days=1)
+    rows = [  # symbol, timestamp, price, written at
+        [("A", T0, 1.0, T0), ("B", T0, 2.0, T0)],
+        [("A", T0, 3.0, T0 + day), ("A", T0 + 3 * day, 4.0, T0 + 3 * day)],
+        [("A", T0 + 8 * day, 5.0, T0 + 8 * day)]]
+    for part in rows:
+        spark.createDataFrame(
+            part, "symbol string, timestamp timestamp_ntz, price double, processed_at timestamp"
+        ).withColumns({"volume": F.lit(1), "data_type": F.lit("q")}).coalesce(1).write.mode(
+            "append").parquet(f"{tmp_path}/in")
+    jobs.serve(stream_of(spark, tmp_path / "in"), f"{tmp_path}/t", f"{tmp_path}/s"
+               ).awaitTermination()
+
+    def at(time):
+        out = jobs.served(spark, f"{tmp_path}/t", F.lit(time)).collect()
+        return sorted((r.symbol, float(r.price)) for r in out)
+
+    assert at(T0 + 6 * day) == [("A", 3.0), ("A", 4.0), ("A", 5.0), ("B", 2.0)]
+    assert at(T0 + 7.5 * day) == [("A", 3.0), ("A", 4.0), ("A", 5.0)]
+    assert spark.read.parquet(f"{tmp_path}/t").select("day", "v").distinct().count() == 4
+
+
 def test_threshold_alarm_needs_adjacent_periods(spark):
     rows = [("s", T0 + dt.timedelta(minutes=5 * m), v)
             for m, v in ((0, 9.0), (1, 9.0), (2, 1.0), (3, 9.0), (5, 9.0))]

@@ -17,19 +17,21 @@ def market_windows(rows: DataFrame, length: str = "1 minute", slide: str | None
                    by: str = "market") -> DataFrame:
     """Counts, averages, gainers, losers, anomalies and sentiment per window and market.
 
-    Input: ts, market, symbol, price, volume, price_change_pct, is_anomaly.
+    Input: ts, market, symbol, price, volume, price_change_pct, volatility, is_anomaly.
     """
     change = F.col("price_change_pct")
     win = F.window("ts", length, slide) if slide else F.window("ts", length)
     out = rows.groupBy(win.alias("w"), by).agg(
         F.count("symbol").alias("symbol_count"), F.avg("price").alias("avg_price"),
         F.avg("volume").alias("avg_volume"), F.avg(change).alias("avg_change_pct"),
+        F.avg("volatility").alias("avg_volatility"),
         F.count_if(change > 0).alias("gainers"), F.count_if(change < 0).alias("losers"),
         F.count_if("is_anomaly").alias("anomalies"))
     return out.select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), by, "symbol_count",
-        "avg_price", "avg_volume", "avg_change_pct", "gainers", "losers", "anomalies",
+        "avg_price", "avg_volume", "avg_change_pct", "avg_volatility", "gainers", "losers",
+        "anomalies",
         sentiment(F.col("avg_change_pct")).alias("market_sentiment"))
 
 

@@ -3,10 +3,12 @@ message bus on a cluster; everything after it is the same."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.schemas import BAR
+from tickloom.sinks.tables import merge_serving
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -57,20 +59,29 @@ JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 def archive(df: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds",
             folder: str = "yyyy-MM-dd-HH") -> StreamingQuery:
-    """Compressed JSON in source / type / hour folders."""
-    keyed = df.withColumn("hour", F.date_format("ts", folder))
-    return to_files(keyed, path, checkpoint, every, "json", ("source", "data_type", "hour"),
+    """Compressed JSON in source / type / hour folders. A trigger's rows of a folder go to one
+    task, so that it gets one file a trigger and the folders are written side by side."""
+    parts = ("source", "data_type", "hour")
+    keyed = df.withColumn("hour", F.date_format("ts", folder)).repartition(*parts)
+    return to_files(keyed, path, checkpoint, every, "json", parts,
                     compression="gzip", timestampFormat=JSON_TIME)
 
 
 def load_incrementally(spark: SparkSession, landing: str, target: str, checkpoint: str,
                        pattern: str = "*price_data*", schema: T.StructType = BAR
                        ) -> StreamingQuery:
-    """Each landed file matching ``pattern`` once; rows that do not parse are left out. Run it
-    from a schedule: it takes what is new and stops."""
-    rows = read_stream(spark, landing, schema, "json", pathGlobFilter=pattern,
-                       recursiveFileLookup="true", mode="DROPMALFORMED")
-    return to_files(rows, target, checkpoint, every=None)
+    """Each landed file matching ``pattern`` once, into ``target``/loaded; text that does not
+    parse goes to ``target``/rejected. Both carry the micro-batch number as a folder, which a
+    retry overwrites. Run it from a schedule: it takes what is new and stops."""
+    broken = "_corrupt_record"
+    wide = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
+    rows = read_stream(spark, landing, wide, "json", pathGlobFilter=pattern,
+                       recursiveFileLookup="true", mode="PERMISSIVE",
+                       columnNameOfCorruptRecord=broken)
+    return fan_out(rows, {
+        f"{target}/loaded": lambda b: b.filter(F.col(broken).isNull()).drop(broken),
+        f"{target}/rejected": lambda b: b.filter(F.col(broken).isNotNull()).select(broken)},
+        checkpoint)
 
 
 def fan_out(stream: DataFrame, outputs: dict, checkpoint: str, every: str | None = None
@@ -114,21 +125,48 @@ def counted(stream: DataFrame, name: str) -> DataFrame:
                           F.count_if(F.col("symbol").isNull()).alias("failed"))
 
 
-def serve(stream: DataFrame, table: str, checkpoint: str, as_of, keep_days: int = 7,
+def serve(stream: DataFrame, table: str, checkpoint: str, keep_days: int = 7,
           metrics: tuple[str, ...] = (), every: str | None = None) -> StreamingQuery:
     """Keep a serving table at its newest row per (symbol, timestamp).
 
-    Each micro-batch writes a new version next to the old one and readers take the newest
-    version, so the table is never overwritten while it is read.
+    The table is cut by day. A micro-batch writes a new version of the days it has rows for, next
+    to the old ones, so its cost follows those days and not the table, and nothing is overwritten
+    while it is read (``served``). Older versions may be removed by age. Rows expire by the newest
+    write of their micro-batch. A repeated batch overwrites its own version.
     """
-    from tickloom.sinks.tables import merge_serving
-
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        current = spark.read.parquet(f"{table}/v={number - 1}") if number else None
-        merge_serving(current, batch, as_of, keep_days, metrics).write.mode(
-            "overwrite").parquet(f"{table}/v={number}")
+        if batch.isEmpty():
+            return
+        days = batch.select(F.to_date("timestamp").alias("day")).distinct()
+        before = _versions(batch.sparkSession, table)
+        if before is not None:
+            before = _newest(before.filter(F.col("v") < number).join(days, "day", "left_semi"))
+        as_of = batch.agg(F.max("processed_at")).scalar()
+        (merge_serving(before, batch, as_of, keep_days, metrics)
+         .withColumns({"day": F.to_date("timestamp"), "v": F.lit(number)})
+         .hint("rebalance", F.col("day")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "v").parquet(table))
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**trigger).start())
+
+
+def served(spark: SparkSession, table: str, as_of: Column) -> DataFrame:
+    """The serving table's newest rows that have not expired at ``as_of``."""
+    return _newest(spark.read.parquet(table)).filter(
+        F.col("ttl") > F.unix_seconds(as_of.cast("timestamp")))
+
+
+def _versions(spark: SparkSession, table: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(table)
+    except AnalysisException as error:  # before the first batch there is no table
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _newest(versions: DataFrame) -> DataFrame:
+    last = versions.groupBy("day").agg(F.max("v").alias("v"))
+    return versions.join(last, ["day", "v"], "left_semi").drop("day", "v")

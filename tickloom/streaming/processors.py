@@ -2,9 +2,9 @@
 
 Spark has no row windows on streams, so each symbol keeps a small state: the last rows, the
 running averages, or the previous quote. Rows of one trigger are put in event-time order
-before they are applied; the trigger options of the source (files or bytes per trigger) bound
-how many that are. A row that arrives in a later trigger than younger rows is applied in
-order of arrival.
+before they are applied, so a task holds a symbol's rows of one trigger: give the source files of
+bounded size and a number of files (or bytes) per trigger. A row that arrives in a later trigger
+than younger rows is applied in order of arrival.
 """
 
 from __future__ import annotations
@@ -25,12 +25,16 @@ def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 class RollingProcessor(StatefulProcessor):
-    """Indicators over 20 rows and z-scores over 51, from one ring buffer per symbol."""
+    """Indicators over 20 rows and z-scores over 51, from one ring buffer per symbol. ``carry``
+    names text columns that rows keep."""
 
-    OUTPUT = ("symbol string, id bigint, ts timestamp, price double, volume bigint, "
-              "price_change double, price_change_pct double, sma_20 double, volatility double, "
-              "volume_sma double, price_zscore double, volume_zscore double, "
-              "is_anomaly boolean, anomaly_severity string")
+    def __init__(self, carry: tuple[str, ...] = ()) -> None:
+        self.carry = carry
+        self.OUTPUT = ("symbol string, id bigint, ts timestamp, price double, volume bigint, "
+                       + "".join(f"{c} string, " for c in carry)
+                       + "price_change double, price_change_pct double, sma_20 double, "
+                       "volatility double, volume_sma double, price_zscore double, "
+                       "volume_zscore double, is_anomaly boolean, anomaly_severity string")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.past = handle.getListState("past", "price double, volume double")
@@ -57,8 +61,8 @@ class RollingProcessor(StatefulProcessor):
                 [pz.abs() > 5, pz.abs() > 3, vz.abs() > 3], ["CRITICAL", "HIGH", "MEDIUM"],
                 "LOW")}).iloc[len(old):].reset_index(drop=True)
         self.past.put(list(both.tail(ROWS - 1).itertuples(index=False, name=None)))
-        head = pd.DataFrame({"symbol": key[0], **{c: new[c] for c in ("id", "ts", "price",
-                                                                      "volume")}})
+        head = pd.DataFrame({"symbol": key[0], **{
+            c: new[c] for c in ("id", "ts", "price", "volume", *self.carry)}})
         yield pd.concat([head, out], axis=1)
 
     @staticmethod
@@ -135,15 +139,20 @@ class PreviousQuoteProcessor(StatefulProcessor):
         pass
 
 
-def _stateful(stream: DataFrame, processor, time_mode: str) -> DataFrame:
-    rows = stream.select("symbol", "id", "ts", "price", "volume")
+def _stateful(stream: DataFrame, processor, time_mode: str, carry: tuple[str, ...] = (),
+              event_time: str = "") -> DataFrame:
+    rows = stream.select("symbol", "id", "ts", "price", "volume", *carry)
     return rows.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.OUTPUT, outputMode="Append",
-        timeMode=time_mode)
+        timeMode=time_mode, eventTimeColumnName=event_time)
 
 
-def stream_rolling(stream: DataFrame) -> DataFrame:
-    return _stateful(stream, RollingProcessor(), "None")
+def stream_rolling(stream: DataFrame, carry: tuple[str, ...] = (), watermarked: bool = False
+                   ) -> DataFrame:
+    """Indicators and z-scores of each row. With ``watermarked`` (the stream has a watermark on
+    ``ts``) the result has one too, so that time windows can follow; later rows are left out."""
+    return _stateful(stream, RollingProcessor(carry), "EventTime" if watermarked else "None",
+                     carry, "ts" if watermarked else "")
 
 
 def stream_ema(stream: DataFrame) -> DataFrame:
