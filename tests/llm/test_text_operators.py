@@ -426,6 +426,23 @@ def test_neighbours_cases(spark):
     assert ann.nearest(frame, frame.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_queries(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERIES", 2)
+    rng = np.random.default_rng(8)
+    data = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 8)))]
+    asked = [data[0]] * 3 + [data[1]] * 2 + [data[2], (2, data[3][1])]
+    frame, queries_ = (spark.createDataFrame(x, "vec_id long, embedding array<double>")
+                       for x in (data, asked))
+    got = [tuple(r) for r in ann.nearest(frame, queries_, spread=9.0).collect()]
+    want = []
+    for i, v in {(i, tuple(v)) for i, v in asked}:
+        near = sorted((np.sqrt(((np.array(w) - v) ** 2).sum()), j) for j, w in data if j != i)
+        want += [(i, rank, j, score) for rank, (score, j) in enumerate(near[:10], 1)]
+    assert len(got) == len(want) == 40
+    assert sorted(r[:3] for r in got) == sorted(r[:3] for r in want)
+    assert np.allclose([r[3] for r in sorted(got)], [r[3] for r in sorted(want)])
+
+
 def test_multi_index_finds_every_code_within():
     rng = np.random.default_rng(4)
     codes, asked = rng.integers(0, 256, (500, 4), np.uint8), rng.integers(0, 256, (20, 4), np.uint8)

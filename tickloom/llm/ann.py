@@ -99,7 +99,9 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 10, spread: float = S
 
     Defined cases: a null vector, one of another length than most, all zeros, or with a null or
     not finite component takes no part, as query or row; a null id takes no part; fewer than ``k``
-    rows give all; a row that is stored twice counts twice; no queries or no rows give no result.
+    rows give all; a row that is stored twice counts twice; a query that is stored twice is asked
+    once; an id with several vectors asks with each and has a list for each; no queries or no rows
+    give no result.
     """
     spark = frame.sparkSession
     kind = "array<double>"
@@ -112,28 +114,30 @@ def nearest(frame: DataFrame, queries: DataFrame, k: int = 10, spread: float = S
     sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")) \
         .orderBy(F.desc("n"), "size").first()
     folder = shared_folder(spark)
-    schema = "query_id long, vec_id long, score double"
+    schema = "query long, query_id long, vec_id long, score double"
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows, asked = (f.where(F.size("v") == sizes["size"]) for f in (rows, asked))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(learn_rows).select("v").toPandas()
     coder = learn_coder(np.array(sample["v"].tolist()), bits)
     block: list[tuple[int, list[float]]] = []
-    for row in asked.toLocalIterator():
+    first = 0
+    for row in asked.distinct().toLocalIterator():
         block.append((row["id"], row["v"]))
         if len(block) == QUERIES:
-            _search(rows, block, coder, k, spread, schema).write.mode("append").parquet(folder)
-            block = []
+            _search(rows, block, first, coder, k, spread, schema).write.mode("append").parquet(folder)
+            block, first = [], first + QUERIES
     if block:
-        _search(rows, block, coder, k, spread, schema).write.mode("append").parquet(folder)
+        _search(rows, block, first, coder, k, spread, schema).write.mode("append").parquet(folder)
     spark.createDataFrame([], schema).write.mode("append").parquet(folder)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query").orderBy("score", "vec_id")
     return spark.read.schema(schema).parquet(folder).withColumn("rank", F.row_number().over(order)) \
         .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(rows: DataFrame, block: list, coder: Coder, k: int, spread: float,
+def _search(rows: DataFrame, block: list, first: int, coder: Coder, k: int, spread: float,
             schema: str) -> DataFrame:
+    """The ``k`` nearest rows for each query of a block; ``first`` is the number of its first."""
     ids = np.array([i for i, _ in block])
     vectors = np.array([v for _, v in block])
     shared = rows.sparkSession.sparkContext.broadcast((ids, vectors, coder.encode(vectors), coder))
@@ -167,12 +171,13 @@ def _search(rows: DataFrame, block: list, coder: Coder, k: int, spread: float,
                     best[of.start:of.stop] = seen
         counts = [len(s) for s, _ in best]
         yield pa.RecordBatch.from_pydict({
+            "query": pa.array(np.repeat(first + np.arange(len(asked)), counts)),
             "query_id": pa.array(np.repeat(asked, counts)),
             "vec_id": pa.array(np.concatenate([i for _, i in best])),
             "score": pa.array(np.concatenate([s for s, _ in best]))})
 
     parts = rows.mapInArrow(search, schema)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query").orderBy("score", "vec_id")
     return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .drop("rank")
 
