@@ -23,14 +23,15 @@ LANDED_ROWS = 50_000
 
 def event_stream(spark, sf):
     """The events as a stream of ticks: files of bounded size, landed in time order, one a
-    trigger."""
+    trigger. Events without a time come first."""
     landing, rows = shared_folder(spark), table(spark, sf, "events")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     parts = max(3, -(-rows.count() // LANDED_ROWS))
     cuts = rows.select(at.cast("double").alias("at")).approxQuantile(
         "at", [i / parts for i in range(1, parts)], 0.001)
-    for low, high in zip([float("-inf"), *cuts], [*cuts, float("inf")]):
-        slice_ = rows.filter((at > low) & (at <= high))
+    for i, (low, high) in enumerate(zip([float("-inf"), *cuts], [*cuts, float("inf")])):
+        timeless = at.isNull() if i == 0 else F.lit(False)
+        slice_ = rows.filter(((at > low) & (at <= high)) | timeless)
         slice_.coalesce(1).write.mode("append").parquet(landing)
     return jobs.read_stream(spark, landing, rows.schema, files_per_trigger=1).select(
         F.col("event_id").alias("id"), F.upper("event_type").alias("symbol"),

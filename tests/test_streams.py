@@ -155,3 +155,16 @@ def test_threshold_alarm_needs_adjacent_periods(spark):
     df = spark.createDataFrame(rows, "stream string, ts timestamp_ntz, value double")
     out = {r.period.minute: r.in_alarm for r in agg.threshold_alarm(df, 5.0).collect()}
     assert out == {0: False, 5: True, 10: False, 15: False, 25: False}
+
+
+def test_event_stream_lands_events_without_time(spark, tmp_path):
+    from checks import q_streams
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    some = events.limit(50)
+    for name, rows in (("mixed", some.union(events.limit(7).withColumn(
+            "ts", F.lit(None).cast(events.schema["ts"].dataType)))),
+                       ("none", some.withColumn("ts", F.lit(None).cast(events.schema["ts"].dataType)))):
+        rows.write.parquet(f"{tmp_path}/{name}/events.parquet")
+        got = q_streams.drain(spark, q_streams.event_stream(spark, f"{tmp_path}/{name}"))
+        assert got.count() == rows.count()
+        assert got.where("ts is null").count() == rows.where("ts is null").count()
