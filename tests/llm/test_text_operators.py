@@ -327,6 +327,15 @@ def test_best_path_against_all_paths():
             assert tuple(got[a:b]) == best
 
 
+def test_best_path_of_many_languages():
+    scores, first = np.full((6, 300), -9.0), np.array([0, 4, 6])
+    want = [299, 299, 130, 130, 200, 200]
+    scores[np.arange(6), want] = 0
+    got = language.best_path(scores, first, 2.0)
+    assert got.tolist() == want
+    assert language.best_path(scores[:, :128], first, 2.0).max() <= 127
+
+
 def test_warc_cases(spark, tmp_path):
     big = "<p>" + "ü\r\n\r\nWARC/1.1\r\n" * 30
     pages = spark.createDataFrame(

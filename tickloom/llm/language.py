@@ -188,7 +188,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def best_path(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     """The language of each word on its text's best path: word scores less ``switch`` for each
     change. All texts step together, word by word, longest text first."""
-    labels = np.zeros(len(scores), np.int8)
+    kind = np.min_scalar_type(-max(scores.shape[1], 1))  # signed, holds any language's number
+    labels = np.zeros(len(scores), kind)
     counts = np.diff(first)
     order = np.argsort(-counts, kind="stable")
     starts, lengths = first[:-1][order], counts[order]
@@ -196,16 +197,16 @@ def best_path(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarra
     if not steps:
         return labels
     active = np.searchsorted(-lengths, -np.arange(1, steps + 1), "right")
-    origin = np.empty(scores.shape, np.int8)
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    origin = np.empty(scores.shape, kind)
+    own = np.arange(scores.shape[1], dtype=kind)
     value = scores[starts[:active[0]]].astype(np.float64)
-    finals = np.zeros(len(lengths), np.int8)
+    finals = np.zeros(len(lengths), kind)
     for t in range(1, steps):
         n, was = active[t], active[t - 1]
         if n < was:
             finals[n:was] = value[n:].argmax(1)
             value = value[:n]
-        top = value.argmax(1).astype(np.int8)
+        top = value.argmax(1).astype(kind)
         moved = value[np.arange(n), top][:, None] - switch
         stay = value >= moved
         at = starts[:n] + t
