@@ -35,6 +35,27 @@ def test_stages(spark):
         docs, before = spark.createDataFrame(out.collect(), out.schema), after
 
 
+def test_cut_benchmark_leaves_no_nested_passage(spark, tmp_path, monkeypatch):
+    passage = "p1 p2 p3 p4 p5 p6 p7 p8 p9 p10 p11 p12"
+    items = [(1, passage), (2, "a b"), (3, "x y")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    whole, (head, tail) = passage, (passage[:17], passage[17:])
+    texts = ["a a b b", "x a b y", f"start {head} {whole} {tail} end", "a a a x y b b b\nc", "clean text", None]
+    texts += [texts[0]]
+    schema = spark.read.parquet(f"{DATA}/documents.parquet").schema
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(texts)], schema)
+    first = pipeline.decontaminate.find_leaks
+    for size in (pipeline.decontaminate.BLOCK_WORDS, 1):
+        monkeypatch.setattr(pipeline.decontaminate, "find_leaks",
+                            lambda *a, **b: first(*a, block_words=size, **b))  # noqa: B023
+        got = {r["doc_id"]: r["text"] for r in pipeline.cut_benchmark(spark, docs, str(tmp_path)).collect()}
+        assert set(got) == set(range(len(texts)))
+        assert not any(leaks(t, items)[1] for t in got.values())
+        assert got[4] == "clean text" and got[5] is None and got[3].split() == ["c"]
+        assert got[2].split() == ["start", "end"] and not got[0].strip()
+
+
 def without_lines(docs):
     holders = defaultdict(set)
     key = lambda line: lower(line).strip(BLANK)

@@ -15,6 +15,7 @@ from tickloom.session import staged
 
 #: Words of a window, benchmark words of a broadcast block, text bytes of a shard.
 WINDOW, BLOCK_WORDS, SHARD = 10, 2_000_000, 2 << 20
+_HITS = "array<struct<start:int,end:int,words:int>>"
 #: Bytes that words are made of: 0-9, letters, and all of non-ASCII characters.
 _IS_WORD = np.zeros(256, bool)
 for _first, _last in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
@@ -101,7 +102,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
 
     ``hits``: array of (start, end), UTF-8 byte places of merged runs of hit words, in order. With
     ``cut`` these are cut out of the text; each leaves a line end, so that the words around it do
-    not become neighbours on a line.
+    not become neighbours on a line. Windows run over line ends, so what is left of a text that was
+    cut is searched and cut again until no window is in it; ``hits``, ``items`` and the counts are
+    those of the given text.
     ``items``: ids of the items with a window in the text, as strings in order. Defined cases:
     null and empty texts have no words and no hit; items without text or words match nothing; an
     empty benchmark hits nothing; repeated rows get equal answers. Columns of the result's names
@@ -109,18 +112,38 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
     """
     small_batches(docs.sparkSession)
     made = ("n_words", "n_hit", "hits", "items", "contaminated")
-    kind = "array<struct<start:int,end:int,words:int>>"
-    out = docs.drop(*made).withColumns({
-        "n_words": F.lit(0).cast("long"), "hits": F.array().cast(kind),
-        "items": F.array().cast("array<string>")})
-    blocks = phrase_blocks(benchmark, id_col, item_text_col, window, block_words)
-    phrases = next(blocks, None) or Phrases([], [], window)
-    while phrases is not None:
-        shared, phrases = docs.sparkSession.sparkContext.broadcast(phrases), next(blocks, None)
-        out = _pass(out, shared, text_col, cut and phrases is None)
-        if phrases is not None:  # a task holds one block: this one goes before the next comes
-            out = staged(out, "pass")
-            shared.destroy()
+    given = docs.drop(*made)
+
+    def search(rows: DataFrame) -> tuple[DataFrame, bool]:
+        """All blocks' passes, and whether there was one block only."""
+        out = rows.withColumns({
+            "n_words": F.lit(0).cast("long"), "hits": F.array().cast(_HITS),
+            "items": F.array().cast("array<string>")})
+        blocks = phrase_blocks(benchmark, id_col, item_text_col, window, block_words)
+        phrases, passes = next(blocks, None) or Phrases([], [], window), 0
+        while phrases is not None:
+            shared, phrases = docs.sparkSession.sparkContext.broadcast(phrases), next(blocks, None)
+            passes += 1
+            last = phrases is None
+            out = _pass(out, shared, text_col, cut and last, passes == 1 and last)
+            if not last:  # a task holds one block: this one goes before the next comes
+                out = staged(out, "pass")
+                shared.destroy()
+        return out, passes == 1
+
+    out, whole = search(given)
+    if cut and not whole:  # with one block the task itself goes on until nothing is hit
+        out = staged(out, "cut")
+        first = ("n_words", "hits", "items")
+        done, rest = out.where(F.size("hits") == 0), out.where(F.size("hits") > 0)
+        while not rest.isEmpty():
+            kept = rest.withColumn("_first", F.struct(*first)).drop(*first)
+            again = staged(search(kept)[0], "cut")
+            left = F.size("hits") > 0
+            back = [again.where(x).select(*given.columns, *[F.col(f"_first.{c}") for c in first])
+                    for x in (~left, left)]
+            done, rest = done.unionByName(back[0]), back[1]
+        out = done
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["words"])
     return out.withColumns({
         "n_hit": n_hit, "contaminated": F.size("hits") > 0,
@@ -128,7 +151,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
         "items": F.array_sort(F.array_distinct("items"))})
 
 
-def _pass(docs: DataFrame, shared, text_col: str, cut: bool) -> DataFrame:
+def _pass(docs: DataFrame, shared, text_col: str, cut: bool, whole: bool) -> DataFrame:
+    """Search one block of phrases; ``whole``: it is the only one, so cutting goes on until none
+    of its windows is left."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shared.value
         for batch in text_chunks(batches, text_col, SHARD):
@@ -142,9 +167,15 @@ def _pass(docs: DataFrame, shared, text_col: str, cut: bool) -> DataFrame:
             columns["hits"] = pa.array(spans, batch.schema.field("hits").type)
             columns["items"] = pa.array(texts, batch.schema.field("items").type)
             if cut and any(spans):
-                columns[text_col] = pa.array(
-                    [_without(t, s) for t, s in zip(batch.column(text_col).to_pylist(), spans)],
-                    columns[text_col].type)
+                left = [_without(t, s) for t, s in zip(batch.column(text_col).to_pylist(), spans)]
+                cut_ = [i for i, s in enumerate(spans) if s] if whole else []
+                while cut_:
+                    words = Words(pa.array([left[i] for i in cut_], pa.string()), _IS_WORD)
+                    more = _spans(words, _occurrences(words, phrases)[0], [[]] * len(cut_))
+                    for i, s in zip(cut_, more):
+                        left[i] = _without(left[i], s)
+                    cut_ = [i for i, s in zip(cut_, more) if s]
+                columns[text_col] = pa.array(left, columns[text_col].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return docs.mapInArrow(search, docs.schema)
