@@ -260,6 +260,18 @@ def test_near_dedup_random_variants(spark):
     assert got == components(docs, 85)
 
 
+def test_prefixes_hold_the_rarest_shingles_of_all_open_documents(spark):
+    words = lambda name, n: " ".join(f"{name}x{i}" for i in range(n))
+    texts = [f"{words(f'own{i}', 40)} {words(f'both{i // 2}', 40)}" for i in range(40)]
+    texts += [words("near", 60), words("near", 60) + " tail", words("near", 59)]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    members = spark.createDataFrame([(1, i, 0) for i, _ in docs], "key long, node long, center long")
+    alone = spark.createDataFrame([], "node long, component long")
+    texts = spark.createDataFrame(docs, "node long, text string")
+    got = {tuple(r) for r in near_dedup._across(members, alone, texts, 80).collect()}
+    assert got == {(41, 40), (42, 40), (42, 41)}  # those that share 40 of 80 words make no pair
+
+
 def test_estimate_follows_jaccard():
     rng = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.9):

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,6 @@ _CHANCE = 0.1699194871597391
 _SLACK = 5
 #: Where an empty register borrows from, try by try; the same for all sketches.
 _PROBES = np.random.default_rng(11).integers(0, REGISTERS, (64, REGISTERS))
-#: Documents and shingles that the order of rarity is learned from; it decides the work only.
-RARITY_DOCS, RARITY_SHINGLES = 5000, 100_000
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -224,36 +223,38 @@ def _across(members: DataFrame, components: DataFrame, texts: DataFrame,
         F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high").select("key"), "mixed")
     open_ = staged(placed.join(mixed, "key", "left_semi").select("node", "component").distinct()
-                   .join(texts, "node"), "open")
-    share = min(1.0, RARITY_DOCS / max(open_.count(), 1))
-    sample = open_.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1e6))
-    counted = sample.select("text").mapInArrow(_all_shingles, "shingle long") \
-        .groupBy("shingle").agg(F.count("*").alias("n")).where("n > 2") \
-        .orderBy(F.desc("n"), "shingle").limit(RARITY_SHINGLES).toPandas()
-    order = np.argsort(counted["shingle"].to_numpy(np.int64))
-    common = members.sparkSession.sparkContext.broadcast(
-        (counted["shingle"].to_numpy(np.int64)[order], counted["n"].to_numpy(np.int64)[order]))
+                   .join(texts, "node").withColumn("row", F.monotonically_increasing_id()), "open")
+    # How many open texts hold each shingle. The table is staged so that the join below, where a
+    # common shingle is a large group, reads it through an exchange that skew joins can split.
+    shingles = open_.select("row", "text").mapInArrow(_all_shingles, "row long, shingle long")
+    shared = staged(shingles.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    held = shingles.join(shared, "shingle").groupBy("row").agg(
+        F.collect_list(F.struct("shingle", "n")).alias("held"))
+    # A text without a shared shingle pairs with nothing.
+    counted = open_.join(held, "row").drop("row")
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = common.value
         for batch in text_chunks(batches, "text"):
             hashes, first = shingle_sets(batch.column("text"))
-            hashes, size = hashes.view(np.int64), np.diff(first)
-            at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-            n = np.where(known[at] == hashes, times[at], 0) if len(known) \
-                else np.zeros(len(hashes), np.int64)
+            size, column = np.diff(first), batch.column("held")
+            known, ends = column.flatten(), np.cumsum(pc.list_value_length(column).to_numpy())
+            values = known.field("shingle").to_numpy().view(np.uint64)
+            times, n = known.field("n").to_numpy(), np.ones(len(hashes), np.int64)
+            for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+                n[first[i] + np.searchsorted(hashes[first[i]:first[i + 1]], values[a:b])] = times[a:b]
             of = np.repeat(np.arange(len(size)), size)
             place = np.lexsort((hashes, n, of))
             rank = np.arange(len(place)) - np.repeat(first[:-1], size)
-            keep = rank <= (size - -(-size * percent // 100))[of]
+            # A shingle that no other text holds makes no pair.
+            keep = (rank <= (size - -(-size * percent // 100))[of]) & (n[place] > 1)
             yield pa.RecordBatch.from_pydict({
                 "node": batch.column("node").take(pa.array(of[keep])),
                 "component": batch.column("component").take(pa.array(of[keep])),
-                "shingle": pa.array(hashes[place][keep]), "at": pa.array(rank[keep], pa.int32()),
-                "size": pa.array(size[of[keep]], pa.int32())})
+                "shingle": pa.array(hashes[place][keep].view(np.int64)),
+                "at": pa.array(rank[keep], pa.int32()), "size": pa.array(size[of[keep]], pa.int32())})
 
     kind = members.schema["node"].dataType.simpleString()
-    prefixes = staged(open_.mapInArrow(
+    prefixes = staged(counted.mapInArrow(
         rarest, f"node {kind}, component {kind}, shingle long, at int, size int"), "prefixes")
     a = prefixes.toDF("a", "ca", "shingle", "ia", "na")
     b = prefixes.toDF("b", "cb", "shingle", "ib", "nb")
@@ -265,8 +266,10 @@ def _across(members: DataFrame, components: DataFrame, texts: DataFrame,
 
 def _all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches, "text"):
-        yield pa.RecordBatch.from_pydict(
-            {"shingle": pa.array(shingle_sets(batch.column("text"))[0].view(np.int64))})
+        hashes, first = shingle_sets(batch.column("text"))
+        yield pa.RecordBatch.from_pydict({
+            "row": pa.array(np.repeat(batch.column("row").to_numpy(), np.diff(first))),
+            "shingle": pa.array(hashes.view(np.int64))})
 
 
 def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
