@@ -39,15 +39,16 @@ def event_stream(spark, sf):
         F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
 
 
-MARKET = F.when(F.col("id") % 3 == 0, "stocks").when(F.col("id") % 3 == 1, "crypto") \
-    .otherwise("forex")
+def market():
+    return F.when(F.col("id") % 3 == 0, "stocks").when(F.col("id") % 3 == 1, "crypto") \
+        .otherwise("forex")
 
 
 def bar_stream(spark, sf):
     """Ticks as bars of one quote."""
     return event_stream(spark, sf).select(
         "id", "symbol", "ts", *[F.col("price").alias(c) for c in OHLC], "volume",
-        MARKET.alias("market"))
+        market().alias("market"))
 
 
 def drain(spark, stream, **kwargs):
@@ -68,7 +69,7 @@ def plain_time(df):
 def marked(rows):
     """Row-local stand-ins for change and anomaly, so that the windows can be compared."""
     return rows.withColumns({
-        "market": MARKET, "price_change_pct": F.col("price") / 10 - 4,
+        "market": market(), "price_change_pct": F.col("price") / 10 - 4,
         "volatility": F.col("price") / 7, "is_anomaly": F.col("price") > 150})
 
 
