@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import (ann, decontaminate, language, line_dedup, near_dedup, packing, sharding,
-                          training_order, url_filter, warc)
+from tickloom.llm import (ann, decontaminate, language, line_dedup, near_dedup, packing, pieces,
+                          sharding, training_order, url_filter, warc)
 from tickloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -153,3 +158,15 @@ def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
 def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op11_pieces")
+def op11_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = pieces.with_piece_ids(docs, piece_model()).drop("text")
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    digests = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                           F.sha2(ids.cast("binary"), 256).alias("ids_sha256"))
+    return pieces.with_piece_text(digests, piece_model()).select(
+        "doc_id", "n_tokens", "ids_sha256",
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
