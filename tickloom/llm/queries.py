@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (ann, decontaminate, language, line_dedup, near_dedup, packing, pieces,
-                          sharding, training_order, url_filter, warc)
+                          prefix_trie, sharding, training_order, url_filter, warc)
 from tickloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,34 @@ def op11_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.with_piece_text(digests, piece_model()).select(
         "doc_id", "n_tokens", "ids_sha256",
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op13_prefix_trie", """
+WITH t AS (SELECT conv_id, turn, {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS m
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id AS c, list(m ORDER BY turn NULLS FIRST,
+    sha256(strlen(m.r)::VARCHAR || ':' || m.r || m.x)) AS s FROM t GROUP BY 1),
+checks AS (SELECT c, s, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::UBIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+      lambda p, z: xor(p >> 1, 3988292384::UBIGINT * (p & 1))))) % 9 AS h FROM own),
+rebuilt AS (SELECT a.c, list_concat(coalesce(list_slice(b.s, 1, a.h), []),
+    list_slice(a.s, a.h + 1, len(a.s))) AS q
+  FROM checks a LEFT JOIN own b ON b.c = a.c - a.c % 5),
+nodes AS (SELECT d, list_slice(q, 1, d) AS p, min(c) AS c, count(*) AS n, max(len(q)) = d AS leaf,
+    list(c ORDER BY c) FILTER (len(q) = d) AS ends
+  FROM (SELECT *, unnest(range(0, len(q) + 1)) AS d FROM rebuilt) GROUP BY 1, 2),
+spread AS (SELECT i, list_slice(p, 1, i) AS p, sum(leaf::INT) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, CASE WHEN d > 0 THEN (n - 1) * strlen(p[d].x) ELSE 0 END AS saved,
+      unnest(range(0, d + 1)) AS i FROM nodes) GROUP BY 1, 2),
+born AS (SELECT d - 1 AS d, list_slice(p, 1, d - 1) AS p, count(*) AS k
+  FROM nodes WHERE d > 0 GROUP BY 1, 2)
+SELECT n.c AS conv_id, n.d AS depth, up.c AS parent_conv_id, n.n AS n_convs,
+  coalesce(k, 0) AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+  sha256(coalesce(array_to_string(n.ends, ','), '')) AS ends_sha256
+FROM nodes n JOIN spread s ON s.i = n.d AND s.p = n.p
+LEFT JOIN nodes up ON up.d = n.d - 1 AND up.p = list_slice(n.p, 1, n.d - 1)
+LEFT JOIN born ON born.d = n.d AND born.p = n.p""")
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.share_heads(turns))
