@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import (ann, decontaminate, language, line_dedup, near_dedup, packing, pieces,
+from tickloom.llm import (alignment, ann, decontaminate, language, line_dedup, near_dedup, packing, pieces,
                           prefix_trie, sharding, training_order, url_filter, warc)
 from tickloom.session import shared_folder
 
@@ -172,6 +172,11 @@ def op11_pieces(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf, "documents"), tokenizer(), piece_model())
+
+
 @query("op13_prefix_trie", """
 WITH t AS (SELECT conv_id, turn, {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS m
   FROM conversations WHERE conv_id IS NOT NULL),
