@@ -95,10 +95,6 @@ def users(spark, sf):
         .alias("end_at"))
 
 
-def matched(spark, sf):
-    return al.match_alert_users(alerts(spark, sf), users(spark, sf))
-
-
 @query("classify_alert", with_ctes(BARS, ALERTS, body="""
 SELECT alert_id, alert_type, severity, urgency, category, requires_immediate_action FROM alerts
 """))
@@ -129,9 +125,7 @@ def _(spark, sf):
 SELECT user_id, severity, count(*) AS alerts, count(DISTINCT symbol) AS symbols,
   min(ts) AS first_ts, max(ts) AS last_ts FROM matched GROUP BY user_id, severity"""))
 def _(spark, sf):
-    return matched(spark, sf).groupBy("user_id", "severity").agg(
-        F.count(F.lit(1)).alias("alerts"), F.count_distinct("symbol").alias("symbols"),
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return al.user_alert_counts(alerts(spark, sf), users(spark, sf))
 
 
 @query("rate_limit_alerts", with_ctes(BARS, ALERTS, USERS, MATCHED, """
@@ -140,8 +134,8 @@ rl AS (SELECT user_id, symbol, min(ts) AS ts FROM matched
 SELECT user_id, symbol, count(*) AS notifications, max(ts) AS last_ts FROM rl
 GROUP BY user_id, symbol"""))
 def _(spark, sf):
-    limited = al.rate_limit_alerts(
-        matched(spark, sf).select("user_id", "symbol", "ts"), "7 DAYS")
+    limited = al.limited_notifications(
+        alerts(spark, sf).select("symbol", "ts", "severity"), users(spark, sf), "7 DAYS")
     return limited.groupBy("user_id", "symbol").agg(
         F.count(F.lit(1)).alias("notifications"), F.max("ts").alias("last_ts"))
 
@@ -150,9 +144,7 @@ def _(spark, sf):
 SELECT channel, severity, count(*) AS notifications
 FROM (SELECT unnest(channels) AS channel, severity FROM matched) GROUP BY ALL"""))
 def _(spark, sf):
-    enriched = al.enrich_alert(alerts(spark, sf))
-    return al.channel_counts(al.notification_plan(
-        al.match_alert_users(enriched, users(spark, sf))))
+    return al.channel_totals(alerts(spark, sf), users(spark, sf))
 
 
 @query("alert_batch_stats", with_ctes(BARS, ALERTS, USERS, MATCHED, """
@@ -161,8 +153,7 @@ SELECT count(*) AS total_processed, count(*) FILTER (price_change_percent IS NOT
   successful_processing, CAST(sum(coalesce(sent, 0)) AS BIGINT) AS total_notifications_sent
 FROM alerts LEFT JOIN sent USING (alert_id)"""))
 def _(spark, sf):
-    sent = matched(spark, sf).groupBy("alert_id").agg(F.sum(F.size("channels")).alias("sent"))
-    processed = alerts(spark, sf).join(sent, "alert_id", "left").withColumn(
+    processed = al.with_sent(alerts(spark, sf), users(spark, sf)).withColumn(
         "success", F.col("price_change_percent").isNotNull())
     return al.alert_batch_stats(processed)
 

@@ -107,25 +107,66 @@ def test_alert_limits_are_inclusive(spark):
     assert out["5"].category == "system"
 
 
-def test_audience_equals_the_nested_loop(spark):
+def test_audience_equals_the_nested_loop(spark, monkeypatch):
     rng = np.random.default_rng(5)
     severities = ["info", "warning", "critical"]
-    a = [(str(i), rng.choice(["HOT", "HOT", "B", "C"]), T0 + dt.timedelta(hours=int(h)),
-          rng.choice(severities)) for i, h in enumerate(rng.integers(0, 24, 200))]
+    a = [(str(i), rng.choice(["HOT", "HOT", "B", "C"]), T0 + dt.timedelta(minutes=int(h) * 30),
+          rng.choice(severities)) for i, h in enumerate(rng.integers(0, 48, 200))]
+    a += [("n1", None, T0, "info"), ("n2", "HOT", T0, "info"), ("n3", "HOT", T0, "info")]
     hours = [(None, None), ("09:00", "17:00"), ("06:00", "20:00")]
-    u = [(i, ["email"], rng.choice(severities),
-          [[], ["HOT"], ["B", "C", "B"]][i % 3], *hours[i % 2]) for i in range(30)]
-    got = alerts.match_alert_users(
-        spark.createDataFrame(a, "alert_id string, symbol string, ts timestamp_ntz, severity string"),
-        spark.createDataFrame(u, "user_id int, channels array<string>, severity_threshold string, "
-                                 "symbols array<string>, start_at string, end_at string"), salts=5)
+    channels = [["email"], ["email", "sms"], [], None]
+    lists = [[], ["HOT"], ["B", "C", "B"], None, [None, "B"], [None]]
+    u = [(i, channels[i % 4], rng.choice(severities), lists[i % 6], *hours[i % 3])
+         for i in range(60)]
     rank = {s: i for i, s in enumerate(severities)}
-    want = {(x[0], y[0]) for x in a for y in u
-            if rank[x[3]] >= rank[y[2]] and (not y[3] or x[1] in y[3])
+    want = [(x, y) for x in a for y in u
+            if rank[x[3]] >= rank[y[2]] and (not y[3] or (x[1] is not None and x[1] in y[3]))
             and (x[3] == "critical"
-                 or (y[4] or "00:00") <= x[2].strftime("%H:%M") <= (y[5] or "23:59"))}
+                 or (y[4] or "00:00") <= x[2].strftime("%H:%M") <= (y[5] or "23:59"))]
+    alert_rows_ = spark.createDataFrame(
+        a, "alert_id string, symbol string, ts timestamp_ntz, severity string")
+    users = spark.createDataFrame(u, "user_id int, channels array<string>, severity_threshold string, "
+                                  "symbols array<string>, start_at string, end_at string")
+    got = alerts.match_alert_users(alert_rows_, users)
     pairs = [(r.alert_id, r.user_id) for r in got.select("alert_id", "user_id").collect()]
-    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {(x[0], y[0]) for x, y in want}
+
+    per_user = {}
+    for x, y in want:
+        n, symbols, times = per_user.setdefault((y[0], x[3]), [0, set(), []])
+        per_user[y[0], x[3]][0] += 1
+        symbols.add(x[1])
+        times.append(x[2])
+    counted = {(r.user_id, r.severity): (r.alerts, r.symbols, r.first_ts, r.last_ts)
+               for r in alerts.user_alert_counts(alert_rows_, users).collect()}
+    assert counted == {k: (n, len(s - {None}), min(t), max(t)) for k, (n, s, t) in per_user.items()}
+
+    first = {}
+    for x, y in want:
+        key = (y[0], x[1], x[2].replace(minute=0))
+        first[key] = min(first.get(key, (x[2], x[0])), (x[2], x[0]))
+    monkeypatch.setattr(alerts, "ANY_ROWS", 3)
+    out = [(r.user_id, r.symbol, r.ts, r.alert_id, r.channels) for r in
+           alerts.limited_notifications(alert_rows_, users, "1 hour").collect()]
+    assert len(out) == len(first)
+    assert {o[:4] for o in out} == {(k[0], k[1], *v) for k, v in first.items()}
+    matched = got.select("user_id", "symbol", "ts", "alert_id", "severity").where("symbol IS NOT NULL")
+    rows = [(r.user_id, r.symbol, r.ts, r.alert_id) for r in alerts.rate_limit_alerts(matched).collect()]
+    assert len(rows) == len(set(rows))
+    assert set(rows) == {(k[0], k[1], *v) for k, v in first.items() if k[1] is not None}
+
+    totals, sent = {}, {x[0]: 0 for x in a}
+    for x, y in want:
+        sent[x[0]] += len(y[1] or [])
+        for c in y[1] or []:
+            totals[c, x[3]] = totals.get((c, x[3]), 0) + 1
+    assert totals == {(r.channel, r.severity): r.notifications
+                      for r in alerts.channel_totals(alert_rows_, users).collect()}
+    assert sent == {r.alert_id: r.sent for r in alerts.with_sent(alert_rows_, users).collect()}
+    for empty in ((alert_rows_.limit(0), users), (alert_rows_, users.limit(0))):
+        assert not alerts.match_alert_users(*empty).count()
+        assert not alerts.limited_notifications(*empty).count()
+        assert not alerts.channel_totals(*empty).count()
 
 
 def test_rate_limit(spark):

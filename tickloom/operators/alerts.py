@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numeric import fixed, ratio
+from tickloom.session import staged
 
 # Alert limits.
 CRITICAL_MOVE, MAJOR_MOVE, CRITICAL_SPIKE = 15.0, 10.0, 10.0
@@ -90,49 +91,165 @@ def sms_text(alerts: DataFrame) -> Column:
                     F.lit("\n"), F.substring("formatted_message", 1, SMS_CHARS), F.lit("..."))
 
 
-def match_alert_users(alerts: DataFrame, users: DataFrame, salts: int = 16) -> DataFrame:
-    """Alert and user pairs allowed by severity, interest and hours.
+# -- audience ------------------------------------------------------------------------
+#
+# An alert's symbol, severity and minute of the day decide who gets it, and a user's symbols,
+# threshold and hours decide what they get. So alerts are reduced to groups and users to classes
+# before they are joined; the rows of alerts and of users come back behind the join, if at all.
 
-    Interest is an equi-join: a user contributes a row per symbol of interest, or one row for
-    any symbol, and an alert looks up its symbol and "any". Alerts are spread over ``salts``
-    and the smaller user side is repeated per salt, so a symbol with a third of all alerts is
-    shared by that many tasks.
+_WANTS = ("symbols", "severity_threshold", "start_at", "end_at")
+#: Alert groups that the classes without a symbol list meet in one task.
+ANY_ROWS = 65_536
 
-    ``users``: user_id, channels, severity_threshold, symbols (empty = all), start_at, end_at
-    ('HH:mm', NULL = no limit).
+
+def with_audience(users: DataFrame) -> DataFrame:
+    """``users`` with ``audience``, the same for users of equal symbols, threshold and hours.
+
+    ``users``: user_id, channels, severity_threshold, symbols (null or empty = all), start_at,
+    end_at ('HH:mm', null = no limit). Nulls in a symbol list ask for nothing.
+    """
+    symbols = F.when(F.size("symbols") > 0, F.array_sort(F.array_distinct(
+        F.array_compact("symbols"))))
+    return users.withColumn("audience", F.sha2(F.to_json(F.struct(
+        symbols.alias("symbols"), *_WANTS[1:])), 256))
+
+
+def audience_classes(members: DataFrame, *counts: Column) -> DataFrame:
+    """One row per audience with its wants, and aggregates over its users."""
+    return members.groupBy("audience").agg(*[F.first(c).alias(c) for c in _WANTS], *counts)
+
+
+def group_minute() -> Column:
+    """The minute of the day; critical alerts go out at any."""
+    return F.when(~F.coalesce(F.col("severity") == "critical", F.lit(False)),
+                  F.date_format("ts", "HH:mm"))
+
+
+def alert_groups(alerts: DataFrame, *aggregates: Column, keys: tuple[Column, ...] = ()) -> DataFrame:
+    """Alerts by symbol, severity and minute of the day, and ``keys``."""
+    return alerts.groupBy("symbol", "severity", group_minute().alias("minute"), *keys).agg(*aggregates)
+
+
+def match_classes(groups: DataFrame, classes: DataFrame, any_rows: int = ANY_ROWS) -> DataFrame:
+    """Groups with each audience whose symbols, threshold and hours take them.
+
+    Classes that name symbols meet the groups in an equi-join by symbol. Those that take any are
+    few (thresholds and hours only); the groups are dealt to as many salts as their number asks
+    for, and these classes are repeated for each.
+    """
+    wants = classes.withColumn("_rank", severity_rank("severity_threshold")).select(
+        "audience", "_rank", "symbols", F.coalesce("start_at", F.lit("00:00")).alias("_from"),
+        F.coalesce("end_at", F.lit("23:59")).alias("_to"))
+    fits = (severity_rank("severity") >= F.col("_rank")) & (
+        F.col("minute").isNull() | F.col("minute").between(F.col("_from"), F.col("_to")))
+    takes_any = F.coalesce(F.size("symbols") <= 0, F.lit(True))
+    named = wants.where(~takes_any).withColumn("symbol", F.explode(F.array_distinct("symbols")))
+    open_ = wants.where(takes_any)
+    out = groups.join(named.drop("symbols"), "symbol").where(fits)
+    if not open_.isEmpty():
+        salts = max(1, -(-groups.count() // any_rows))
+        dealt = groups.withColumn("_salt", F.pmod(F.xxhash64(*groups.columns), F.lit(salts)))
+        repeated = open_.drop("symbols").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        out = out.unionByName(dealt.join(repeated, "_salt").where(fits).drop("_salt"))
+    return out.drop("_rank", "_from", "_to")
+
+
+def match_alert_users(alerts: DataFrame, users: DataFrame) -> DataFrame:
+    """Alert and user pairs allowed by severity, interest and hours: all columns of both but the
+    wants' symbols. Only groups and classes are compared; pairs are made of the ones that fit."""
+    members = with_audience(users)
+    fit = match_classes(alert_groups(alerts, F.count(F.lit(1)).alias("_alerts")),
+                        audience_classes(members)).drop("_alerts")
+    same = [F.col("a.symbol").eqNullSafe(F.col("m.symbol")),
+            F.col("a.severity").eqNullSafe(F.col("m.severity")),
+            F.col("a._minute").eqNullSafe(F.col("m.minute"))]
+    return (alerts.withColumn("_minute", group_minute()).alias("a").join(fit.alias("m"), same)
+            .select("a.*", "m.audience").join(members.drop("symbols"), "audience")
+            .drop("audience", "_minute"))
+
+
+def user_alert_counts(alerts: DataFrame, users: DataFrame) -> DataFrame:
+    """Per user and severity: alerts, symbols (distinct), first_ts, last_ts. Counted per audience;
+    users come in last."""
+    members = with_audience(users)
+    groups = alert_groups(alerts, F.count(F.lit(1)).alias("alerts"), F.min("ts").alias("first_ts"),
+                          F.max("ts").alias("last_ts"))
+    per_symbol = match_classes(groups, audience_classes(members)).groupBy(
+        "audience", "severity", "symbol").agg(
+        F.sum("alerts").alias("alerts"), F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"))
+    return per_symbol.groupBy("audience", "severity").agg(
+        F.sum("alerts").alias("alerts"), F.count("symbol").alias("symbols"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")) \
+        .join(members.select("audience", "user_id"), "audience").drop("audience")
+
+
+def limited_notifications(alerts: DataFrame, users: DataFrame, period: str = "1 hour") -> DataFrame:
+    """The first notification of each user and symbol in each period: the users' columns, symbol,
+    ts, and alert_id where alerts have one (the smallest of equal times).
+
+    Alerts are cut to the first per symbol, period, severity and minute of the day, and users to
+    audiences, before they meet; the minimum per audience is widened to users at the end. The rest
+    of an alert's columns is a join on its id away.
     """
-    salt_ids = F.array(*[F.lit(i) for i in range(salts)])
-    anything = F.array(F.struct(F.lit(None).cast("string").alias("s")))
-    wanted = F.when(F.size("symbols") > 0, F.transform(
-        F.array_distinct("symbols"), lambda s: F.struct(s.alias("s")))).otherwise(anything)
-    audience = (users.withColumn("_want", F.explode(wanted))
-                .withColumn("_salt", F.explode(salt_ids))
-                .withColumn("_all", F.col("_want.s").isNull())
-                .withColumn("_sym", F.coalesce("_want.s", F.lit("")))
-                .drop("symbols", "_want"))
-    sides = F.array(F.struct(F.lit(False).alias("a"), F.col("symbol").alias("s")),
-                    F.struct(F.lit(True).alias("a"), F.lit("").alias("s")))
-    asked = (alerts.withColumn("_salt", F.pmod(F.xxhash64("alert_id"), F.lit(salts)).cast("int"))
-             .withColumn("_look", F.explode(sides))
-             .withColumns({"_all": F.col("_look.a"), "_sym": F.col("_look.s")}).drop("_look"))
-    at = F.date_format("ts", "HH:mm")
-    in_hours = at.between(F.coalesce("start_at", F.lit("00:00")),
-                          F.coalesce("end_at", F.lit("23:59")))
-    return (asked.join(audience, ["_salt", "_all", "_sym"])
-            .filter((severity_rank("severity") >= severity_rank("severity_threshold"))
-                    & (in_hours | (F.col("severity") == "critical")))
-            .drop("_salt", "_all", "_sym"))
+    members = with_audience(users)
+    first = F.struct(*[c for c in ("ts", "alert_id") if c in alerts.columns])
+    period_start = F.window("ts", period).start.alias("_period")
+    groups = alert_groups(alerts, F.min(first).alias("first"), keys=(period_start,)) \
+        if "alert_id" in alerts.columns else \
+        alert_groups(alerts, F.min("ts").alias("ts"), keys=(period_start,))
+    fit = match_classes(groups, audience_classes(members))
+    least = F.min("first" if "first" in fit.columns else "ts")
+    limited = fit.groupBy("audience", "symbol", "_period").agg(least.alias("first"))
+    found = [F.col("first.ts"), F.col("first.alert_id")] if "alert_id" in alerts.columns \
+        else [F.col("first").alias("ts")]
+    return (limited.select("audience", "symbol", *found)
+            .join(members.drop("symbols"), "audience").drop("audience"))
+
+
+def channel_totals(alerts: DataFrame, users: DataFrame) -> DataFrame:
+    """Notifications per channel and severity: alerts of a group times users of an audience that
+    have the channel, without a row per notification."""
+    members = with_audience(users)
+    groups = alert_groups(alerts, F.count(F.lit(1)).alias("alerts"))
+    per_class = match_classes(groups, audience_classes(members)).groupBy("audience", "severity").agg(
+        F.sum("alerts").alias("alerts"))
+    subscribed = members.select("audience", F.explode("channels").alias("channel")).groupBy(
+        "audience", "channel").agg(F.count(F.lit(1)).alias("users"))
+    return per_class.join(subscribed, "audience").groupBy("channel", "severity").agg(
+        F.sum(F.col("alerts") * F.col("users")).alias("notifications"))
+
+
+def with_sent(alerts: DataFrame, users: DataFrame) -> DataFrame:
+    """``alerts`` with ``sent``, the notifications each leads to: counted once per group."""
+    members = with_audience(users)
+    classes = audience_classes(members, F.sum(F.greatest(F.size("channels"), F.lit(0)))
+                               .alias("_channels"))
+    groups = alert_groups(alerts, F.count(F.lit(1)).alias("_alerts"))
+    sent = (match_classes(groups, classes).join(classes.select("audience", "_channels"), "audience")
+            .groupBy("symbol", "severity", "minute").agg(F.sum("_channels").alias("sent")))
+    a, g = alerts.withColumn("_minute", group_minute()).alias("a"), sent.alias("g")
+    return a.join(g, [F.col("a.symbol").eqNullSafe(F.col("g.symbol")),
+                      F.col("a.severity").eqNullSafe(F.col("g.severity")),
+                      F.col("a._minute").eqNullSafe(F.col("g.minute"))], "left") \
+        .select("a.*", F.coalesce("g.sent", F.lit(0)).cast("long").alias("sent")).drop("_minute")
 
 
 def rate_limit_alerts(matched: DataFrame, period: str = "1 hour") -> DataFrame:
-    """The first notification of each user and symbol in each period, the same on tables and on
-    streams with a watermark. It is a minimum per group, combined before the shuffle, so a pair
-    with very many alerts is no large group."""
-    row = F.struct("ts", *[c for c in matched.columns if c != "ts"])
-    return (matched.groupBy("user_id", "symbol", F.window("ts", period))
-            .agg(F.min_by(row, F.struct("ts", *[c for c in ("alert_id",) if c in matched.columns]))
-                 .alias("_first"))
-            .select(*[F.col(f"_first.{c}").alias(c) for c in matched.columns]))
+    """The first row of each user and symbol in each period, of rows that are matched already
+    (streams, small tables). Only times and ids go through the minimum, which is combined before
+    the shuffle; the row itself is looked up. Whole tables of alerts and users:
+    ``limited_notifications``."""
+    key = ["user_id", "symbol"]
+    order = [c for c in ("ts", "alert_id") if c in matched.columns]
+    first = (matched.groupBy(*key, F.window("ts", period).alias("_w"))
+             .agg(F.min(F.struct(*order)).alias("_first")).select(*key, "_first.*"))
+    if set(matched.columns) == {*key, *order}:
+        return first.select(*matched.columns)
+    found = matched.alias("m").join(first.alias("f"), [
+        F.col(f"m.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*key, *order)]).select("m.*")
+    return found.dropDuplicates([*key, *order])
 
 
 def notification_plan(matched: DataFrame) -> DataFrame:
