@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.llm.common import BLANKS, Words, mix, small_batches, text_chunks
 from tickloom.llm.components import connected_components
@@ -134,20 +135,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
 
     Defined cases: a text without words has no shingle and links with nothing; a null id has a
     null component and is kept; rows with the same id are one document, linked if any of its
-    texts is. Columns of the result's names are replaced.
+    texts is. Ids may be of any type that has an order. Columns of the result's names are replaced;
+    others may have any name.
     """
     small_batches(docs.sparkSession)
     made = ("n_shingles", "component_id", "kept")
     others = [c for c in docs.columns if c not in (*made, text_col, id_col)]
     rows = docs.select(id_col, *others, text_col)
     kinds = "n_shingles long, set1 long, set2 long, sketch binary"
-    base = rows.drop(text_col)
-    sketched = staged(rows.mapInArrow(
-        _sketch(text_col), f"{base.schema.simpleString()[7:-1]},{kinds}"), "sketches")
-    some = sketched.where((F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
-    classes = staged(some.groupBy("set1", "set2").agg(F.min(id_col).alias("node")), "classes")
+    rows = rows.select(F.col(id_col).alias("id"), F.struct(id_col, *others).alias("doc"),
+                       F.col(text_col).alias("text"))
+    sketched = staged(rows.mapInArrow(_sketch("text"), T.StructType(
+        [*rows.schema.fields[:2], *T._parse_datatype_string(kinds).fields])), "sketches")
+    some = sketched.where((F.col("n_shingles") > 0) & F.col("id").isNotNull())
+    classes = staged(some.groupBy("set1", "set2").agg(F.min("id").alias("node")), "classes")
     nodes = staged(
-        some.select(F.col(id_col).alias("node"), "set1", "set2", "n_shingles", "sketch")
+        some.select(F.col("id").alias("node"), "set1", "set2", "n_shingles", "sketch")
         .join(classes, ["node", "set1", "set2"], "left_semi")
         .drop("set1", "set2").dropDuplicates(["node", "n_shingles", "sketch"]), "nodes")
     members = _members(nodes)
@@ -163,12 +166,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     links = staged(links.union(more), "all_links")
     found = staged(connected_components(links), "components")
     known = classes.join(found, "node", "left").select(
-        "set1", "set2", F.coalesce("component", "node").alias("_component"))
+        "set1", "set2", F.coalesce("component", "node").alias("component"))
     out = sketched.drop("sketch").join(known, ["set1", "set2"], "left")
-    alone = (F.col("n_shingles") == 0) | F.col("_component").isNull()
-    component = F.when(alone | F.col(id_col).isNull(), F.col(id_col)).otherwise(F.col("_component"))
-    return out.select(id_col, *others, "n_shingles", component.alias("component_id"),
-                      F.coalesce(component == F.col(id_col), F.lit(True)).alias("kept"))
+    alone = (F.col("n_shingles") == 0) | F.col("component").isNull()
+    component = F.when(alone | F.col("id").isNull(), F.col("id")).otherwise(F.col("component"))
+    return out.select("doc.*", "n_shingles", component.alias("component_id"),
+                      F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
 def _sketch(text_col: str):
@@ -310,5 +313,5 @@ def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component: the smallest id. Rows with a null id stay."""
     gone = near_duplicates(docs.select(id_col, text_col), percent, id_col, text_col) \
-        .where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+        .where("not kept").select(id_col).distinct()
+    return docs.join(gone, docs[id_col] == gone[id_col], "left_anti")
