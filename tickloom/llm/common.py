@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,16 @@ BLANKS = " \t\n\x0b\x0c\r"
 CHUNK, BATCH = 2 << 20, 8 << 20
 
 
+def free_names(columns: Iterable[str], *names: str) -> list[str]:
+    """``names``, with underscores in front until no column of ``columns`` has them."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, all else as it is. Pure ASCII takes the fast built-in path."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)) \

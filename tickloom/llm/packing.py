@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tickloom.llm.common import free_names
 from tickloom.llm.tokens import with_token_pieces
 from tickloom.session import staged
 
@@ -54,27 +57,34 @@ def pack(pieces: DataFrame, capacity: int = 2048, group: int = GROUP,
     """``pieces`` with ``sequence_id`` and ``offset``: each sequence holds ``capacity`` tokens at
     most, without gaps from 0.
 
-    The pieces are dealt by a seeded hash to groups of about ``group`` rows, and each group is
-    packed by :func:`sum_of_squares`, longest first; only the last few sequences of a group stay
-    partly empty, so the loss is a fixed share at any size.
-    Token ids need not come along: a row is a few numbers.
+    The pieces are dealt by a seeded hash of their place in the table to groups of about ``group``
+    rows, whatever they hold, and each group is packed by :func:`sum_of_squares`, longest first;
+    only the last few sequences of a group stay partly empty, so the loss is a fixed share at any
+    size. Token ids need not come along: a row is a few numbers. ``pieces`` must be a table that
+    reads the same way again (files), as a lost task repeats its part.
 
-    Defined cases: a null or non-positive length is an error of the caller; equal rows get places
-    of their own; an empty table gives none. Columns of the result's names are replaced.
+    Defined cases: a null or non-positive length is an error of the caller; equal rows, however
+    many, get places of their own; nulls in other columns stay; an empty table gives none. Columns
+    of the result's names are replaced.
     """
     keep = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    group_col, = free_names(keep, "group")
     groups = max(1, -(-pieces.count() // group))
-    keyed = pieces.select(*keep).withColumn(
-        "_group", F.pmod(F.xxhash64(F.lit(seed), *keep), F.lit(groups)))
-    schema = f"{keyed.schema.simpleString()[7:-1]},sequence_id:bigint,offset:bigint"
-
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([length_col, *[c for c in ("doc_id", "piece") if c in rows]],
-                                ascending=False, kind="stable")
-        number, offset = sum_of_squares(rows[length_col].to_numpy(np.int64), capacity)
-        return rows.assign(sequence_id=rows["_group"] * (1 << 32) + number, offset=offset)
-
-    return keyed.groupBy("_group").applyInPandas(place, schema).drop("_group")
+    keyed = pieces.select(*keep).withColumn(group_col, F.pmod(
+        F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(groups)))
+    schema = T.StructType([*keyed.schema.fields, T.StructField("sequence_id", T.LongType()),
+                           T.StructField("offset", T.LongType())])
+    order = [(length_col, "descending"),
+             *[(c, "ascending") for c in ("doc_id", "piece") if c in keep]]
+
+    def place(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, order))
+        number, offset = sum_of_squares(rows.column(length_col).to_numpy(), capacity)
+        first = rows.column(group_col)[0].as_py() << 32
+        return rows.append_column("sequence_id", pa.array(first + number)) \
+            .append_column("offset", pa.array(offset))
+
+    return keyed.groupBy(group_col).applyInArrow(place, schema).drop(group_col)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
