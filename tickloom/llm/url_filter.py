@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import LOWER, UPPER
+from tickloom.session import staged
 
 #: (verdict, host, path): host and its subdomains, paths that begin so.
 HOST_RULES = (
@@ -24,6 +25,15 @@ PATTERNS = (
 )
 
 
+#: Rules whose index may be broadcast.
+INDEX_RULES = 50_000
+
+
+def _small(side: DataFrame) -> DataFrame:
+    """Broadcast if it is as small as that."""
+    return F.broadcast(side) if side.limit(INDEX_RULES + 1).count() <= INDEX_RULES else side
+
+
 def host_of(url: Column) -> Column:
     """From behind the first ``://`` to ``/``, ``?``, ``#`` or the end, A-Z lower-cased."""
     return F.translate(F.regexp_extract(_behind(url), "^([^/?#]*)", 1), UPPER, LOWER)
@@ -67,35 +77,42 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
     Each distinct URL is split into tokens ([a-z0-9] runs of the lower-cased host and path). Each
     rule waits at the one of its tokens that the fewest URLs hold; a rule without tokens waits at
     the empty one, which each URL has. URLs and rules meet by an equi-join on the token, and only
-    those pairs run a regular expression. Of the host rules that fit, the longest wins (block
+    those pairs run a regular expression. The index is broadcast while it has ``INDEX_RULES`` rules or
+    fewer, and met by a shuffle beyond. Of the host rules that fit, the longest wins (block
     before allow, then by name); without one, the patterns decide (block before allow, then by
     name); else ``default``. ``rule`` names the host rule, ``pattern`` the pattern that decided.
 
     Defined cases: a null URL, or one without ``://``, has an empty host and path and gets
     ``default`` unless a rule without tokens fits. Rows stay as they are, repeated ones too. No
-    rules: ``default`` for all. Columns of the result's names are replaced.
+    rules: ``default`` for all. A very long URL is one row like others. Columns of the result's names
+    are replaced; others may have any name.
     """
     urls = pages.select(F.coalesce(url_col, F.lit("")).alias("_url")).distinct().select(
         "_url", F.concat(host_of(F.col("_url")), path_of(F.col("_url"))).alias("_place"))
-    tokens = urls.select("_url", "_place", F.explode(F.array_distinct(F.concat(
-        F.array(F.lit("")), F.split(F.translate("_place", UPPER, LOWER), "[^a-z0-9]+"))))
-        .alias("_token"))
     needed = rules.select("rule", F.explode(F.when(F.size("tokens") == 0, F.array(F.lit("")))
                                             .otherwise(F.col("tokens"))).alias("_token"))
-    counts = tokens.groupBy("_token").agg(F.count("*").alias("_urls"))
+    found = F.split(F.translate("_place", UPPER, LOWER), "[^a-z0-9]+")
+    if not rules.where(F.size("tokens") == 0).isEmpty():  # every URL has the empty token
+        found = F.concat(F.array(F.lit("")), found)
+    tokens = urls.select("_url", "_place", F.explode(F.array_distinct(found)).alias("_token"))
+    # Only tokens of rules are counted: the few names travel to the URLs, not the URLs to them.
+    counts = tokens.join(_small(needed.select("_token").distinct()), "_token", "left_semi") \
+        .groupBy("_token").agg(F.count("*").alias("_urls"))
     rarest = needed.join(counts, "_token", "left").groupBy("rule").agg(
         F.min_by("_token", F.struct(F.coalesce("_urls", F.lit(0)), "_token")).alias("_token"))
-    index = rules.drop("tokens").join(rarest, "rule")
-    fits = tokens.join(index, "_token").where(F.regexp_like("_place", F.col("pattern")))
+    index = staged(rules.drop("tokens").join(rarest, "rule"), "rule_index")
+    fits = tokens.join(_small(index), "_token").where(F.regexp_like("_place", F.col("pattern")))
     best = fits.groupBy("_url").agg(F.max(F.struct(
         "by_host", "weight", (F.col("verdict") == "block").alias("block"), "rule", "verdict"))
         .alias("_best"))
     made = ("host", "path", "rule", "pattern", "verdict")
-    keyed = pages.withColumn("_key", F.coalesce(url_col, F.lit("")))
-    joined = keyed.join(best, keyed["_key"] == best["_url"], "left")
+    others = [c for c in pages.columns if c not in made]
+    keyed = pages.select(F.coalesce(url_col, F.lit("")).alias("_url"),
+                         F.struct(*others or [F.lit(0)]).alias("_page"))
+    joined = keyed.join(best, "_url", "left")
     return joined.select(
-        *[c for c in pages.columns if c not in made],
-        host_of(F.col("_key")).alias("host"), path_of(F.col("_key")).alias("path"),
+        *[F.col("_page").getField(c).alias(c) for c in others],
+        host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"),
         F.when(F.col("_best.by_host"), F.col("_best.rule")).alias("rule"),
         F.when(~F.col("_best.by_host"), F.col("_best.rule")).alias("pattern"),
         F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
