@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Words, small_batches, text_chunks
+from tickloom.llm.common import Words, free_names, small_batches, text_chunks
 from tickloom.llm.fm_index import FMIndex
 from tickloom.session import staged
 
-#: Words of a window, benchmark words of a broadcast block, text bytes of a shard.
-WINDOW, BLOCK_WORDS, SHARD = 10, 2_000_000, 2 << 20
+#: Words of a window, benchmark words of a broadcast block, windows of a segment of an item, text
+#: bytes of a shard.
+WINDOW, BLOCK_WORDS, SEGMENT, SHARD = 10, 2_000_000, 10_000, 2 << 20
 _HITS = "array<struct<start:int,end:int,words:int>>"
 #: Bytes that words are made of: 0-9, letters, and all of non-ASCII characters.
 _IS_WORD = np.zeros(256, bool)
@@ -67,18 +68,40 @@ class Phrases:
         return out
 
 
-def phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int,
-                  block_words: int) -> Iterator[Phrases]:
-    """The benchmark in blocks of a bounded number of words, an item at a time on the driver."""
+def segments(benchmark: DataFrame, id_col: str, text_col: str, window: int,
+             most: int = SEGMENT) -> DataFrame:
+    """Benchmark items in segments of at most ``most`` windows: item, text, words. Neighbours
+    share ``window`` - 1 words, so every window of an item is in one segment, and only an item of
+    fewer words has a segment of fewer."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, "text"):
+            words = Words(batch.column("text"), _IS_WORD)
+            data, out = words.data.tobytes(), []
+            for i, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
+                for at in range(a, max(b - window + 1, a + 1), most) if b > a else ():
+                    to = min(at + most + window - 1, b)
+                    out.append((i, data[words.begins[at]:words.ends[to - 1]].decode(), to - at))
+            if out:
+                rows, texts, sizes = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("item").take(pa.array(rows)), pa.array(texts, pa.string()),
+                     pa.array(sizes, pa.int64())], ["item", "text", "words"])
+
+    rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text"))
+    return rows.where(F.col("text").isNotNull()).mapInArrow(
+        run, f"item {rows.schema['item'].dataType.simpleString()}, text string, words long")
+
+
+def phrase_blocks(parts: DataFrame, window: int, block_words: int) -> Iterator[Phrases]:
+    """The segments in blocks of at most ``block_words`` words, one at a time on the driver."""
     items, texts, words = [], [], 0
-    rows = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    for row in rows.where(F.col("t").isNotNull()).toLocalIterator():
-        items.append(row["i"])
-        texts.append(row["t"])
-        words += row["t"].count(" ") + 1
-        if words >= block_words:
+    for row in parts.toLocalIterator():
+        if items and words + row["words"] > block_words:
             yield Phrases(items, texts, window)
             items, texts, words = [], [], 0
+        items.append(row["item"])
+        texts.append(row["text"])
+        words += row["words"]
     if items:
         yield Phrases(items, texts, window)
 
@@ -96,9 +119,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
     searched backwards through the wavelet ranks at once, their occurrences located from sampled
     suffix places, and overlapping occurrences merged into removal spans.
 
-    The benchmark goes to the tasks in broadcast blocks of ``block_words`` words, of which the
-    driver holds two and a task one at a time; a larger benchmark takes several passes over the
-    shards, written in between. Documents are not shuffled.
+    Items are cut into segments between their windows, and the segments go to the tasks in
+    broadcast blocks of at most ``block_words`` words (by the rule above; at least a segment), of
+    which the driver holds two and a task one at a time; a larger benchmark takes several passes
+    over the shards, written in between. Documents are not shuffled.
 
     ``hits``: array of (start, end), UTF-8 byte places of merged runs of hit words, in order. With
     ``cut`` these are cut out of the text; each leaves a line end, so that the words around it do
@@ -108,9 +132,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
     ``items``: ids of the items with a window in the text, as strings in order. Defined cases:
     null and empty texts have no words and no hit; items without text or words match nothing; an
     empty benchmark hits nothing; repeated rows get equal answers. Columns of the result's names
-    are replaced.
+    are replaced; others may have any name.
     """
     small_batches(docs.sparkSession)
+    parts = staged(segments(benchmark, id_col, item_text_col, window,
+                            max(1, min(SEGMENT, block_words - window + 1))), "segments")
     made = ("n_words", "n_hit", "hits", "items", "contaminated")
     given = docs.drop(*made)
 
@@ -119,7 +145,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
         out = rows.withColumns({
             "n_words": F.lit(0).cast("long"), "hits": F.array().cast(_HITS),
             "items": F.array().cast("array<string>")})
-        blocks = phrase_blocks(benchmark, id_col, item_text_col, window, block_words)
+        blocks = phrase_blocks(parts, window, block_words)
         phrases, passes = next(blocks, None) or Phrases([], [], window), 0
         while phrases is not None:
             shared, phrases = docs.sparkSession.sparkContext.broadcast(phrases), next(blocks, None)
@@ -134,13 +160,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id",
     out, whole = search(given)
     if cut and not whole:  # with one block the task itself goes on until nothing is hit
         out = staged(out, "cut")
-        first = ("n_words", "hits", "items")
+        first, (was,) = ("n_words", "hits", "items"), free_names(out.columns, "was")
         done, rest = out.where(F.size("hits") == 0), out.where(F.size("hits") > 0)
         while not rest.isEmpty():
-            kept = rest.withColumn("_first", F.struct(*first)).drop(*first)
+            kept = rest.withColumn(was, F.struct(*first)).drop(*first)
             again = staged(search(kept)[0], "cut")
             left = F.size("hits") > 0
-            back = [again.where(x).select(*given.columns, *[F.col(f"_first.{c}") for c in first])
+            back = [again.where(x).select(*given.columns, *[F.col(was).getField(c).alias(c) for c in first])
                     for x in (~left, left)]
             done, rest = done.unionByName(back[0]), back[1]
         out = done
