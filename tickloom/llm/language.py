@@ -133,6 +133,11 @@ class Model:
     scripts: np.ndarray
 
 
+def last_hash(wanted: int, of: int) -> int:
+    """The signed 64-bit hash up to which ``wanted`` of ``of`` rows lie, or so."""
+    return -(1 << 63) + min(wanted * (1 << 64) // of, (1 << 64) - 1)
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = LEARN_DOCS) -> Model:
     """Count character n-grams of labelled texts, ``per_language`` of each language or so.
@@ -140,7 +145,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     The sample is the documents whose id hashes lowest, by a share that follows from the
     language's count; its bound is the parameter. Counts are summed per task before the shuffle;
     the driver gets languages times ``SLOTS`` numbers at most. Rows without text or language
-    are not used; without any, the model has no language.
+    are not used; a language whose sample has no letter is not learned; without any, the model has
+    no language.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
@@ -149,9 +155,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((SLOTS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
-    shares = F.create_map(*[F.lit(x) for lang in languages for x in
-                            (lang, int(min(1.0, per_language / counts[lang]) * 1e6))])
-    rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < shares[F.col("lang")])
+    # The last hash that is learned from: of 64 bits, so that the share of a language of any size
+    # keeps its documents.
+    last = {lang: last_hash(per_language, n) for lang, n in counts.items()}
+    limits = F.create_map(*[F.lit(x).cast(kind) for lang in languages
+                            for x, kind in ((lang, "string"), (last[lang], "long"))])
+    rows = rows.where(F.xxhash64("id") <= limits[F.col("lang").cast("string")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -177,6 +186,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     found = rows.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot") \
         .agg(F.sum("n").alias("n")).toPandas()
+    languages = sorted(set(found["lang"]))  # a language without a letter in its sample is none
     sums = np.zeros((SLOTS + len(SCRIPTS) + 1, len(languages)))
     number = {lang: i for i, lang in enumerate(languages)}
     sums[found["slot"].to_numpy(), found["lang"].map(number).to_numpy(int)] = found["n"].to_numpy()

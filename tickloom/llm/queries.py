@@ -117,8 +117,8 @@ def op6_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_language")
 def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    model = language.learn(docs.where(~F.coalesce(held, F.lit(False))))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language.learn(docs.where(~held))
     out = docs.select("doc_id", "text").withColumn("held_out", held)
     return language.detect(out, model).drop("text")
 
