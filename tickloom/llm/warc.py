@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ HEADERS = {"record_id": "warc-record-id", "record_type": "warc-type",
            "target_uri": "warc-target-uri", "date": "warc-date",
            "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest"}
 _BATCH = 8 << 20
+_FIRST = re.compile(rb"WARC/\d")
 
 
 def write_archive(pages: DataFrame, folder: str | None = None, min_bytes: int = 100,
@@ -84,7 +86,13 @@ def record_number(record_id):
 
 def read_archive(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
     """Records of all archives of a folder. Without ``payload`` that column is null and no
-    payload is decoded; equality filters on header columns skip other records' payloads."""
+    payload is decoded; equality filters on header columns skip other records' payloads.
+
+    Defined cases: bytes of a header that are no UTF-8 become U+FFFD; a record without a length,
+    or whose head is not one, is skipped up to the next line that begins a record; a payload that
+    the file's end cuts off is returned as far as it goes; an HTTP head without a length gives a
+    null ``http_length``; empty archives have no record.
+    """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
@@ -146,30 +154,36 @@ class WarcReader(DataSourceReader):
             yield _batch(rows)
 
     def records(self, file: io.BufferedReader) -> Iterator[tuple]:
+        """The records that pass. One whose head is broken (no first line, no length that is a
+        number) cannot be stepped over by length, so the next one is sought by its first line."""
         while line := file.readline():
-            if not line.strip():
+            if not _FIRST.match(line):
                 continue
-            if not line.startswith(b"WARC/"):
-                raise ValueError(f"no WARC record begins with {line[:40]!r}")
             head = _fields(file)
-            size = int(head["content-length"])
+            size = _number(head.get("content-length"))
+            if size is None:
+                continue
             end = file.tell() + size
             if all(head.get(field) in values for field, values in self.wanted.items()):
                 http, length, payload = {}, None, None
                 if head.get("content-type", "").startswith("application/http"):
                     file.readline()
                     http = _fields(file)
-                    length = int(http["content-length"]) if "content-length" in http else None
+                    length = _number(http.get("content-length"))
                 if self.payload and head.get("warc-type") != "revisit":
                     payload = file.read(end - file.tell())
                 yield (*(head.get(field) or None for field in HEADERS.values()), length, payload)
             file.seek(end)
 
 
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
 def _fields(file: io.BufferedReader) -> dict[str, str]:
     found = {}
     while (line := file.readline()) not in (b"\r\n", b"\n", b""):
-        name, _, value = line.decode("utf-8").partition(":")
+        name, _, value = line.decode("utf-8", "replace").partition(":")
         found[name.strip().lower()] = value.strip()
     return found
 
