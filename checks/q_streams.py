@@ -3,14 +3,17 @@ and are compared with their table form."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from checks.fixtures import (BARS, RAW_BARS, TICKS, bars, r, raw_bars, rounded, rounded_sql, rsql,
                              table, ticks, with_ctes)
 from checks.q_indicators import W, frame, zscore_cte
 from checks.q_tables import OHLC
+from checks.q_alerts import USERS, users
 from checks.registry import query
-from tickloom.plans import live
+from tickloom.plans import events, live
 from tickloom.session import shared_folder
 from tickloom.sinks import tables as sink
 from tickloom.sources import bars as src
@@ -21,24 +24,33 @@ from tickloom.streaming import aggregates as agg, jobs, processors as proc
 LANDED_ROWS = 50_000
 
 
-def event_stream(spark, sf):
-    """The events as a stream of ticks: files of bounded size, landed in time order, one a
-    trigger. Events without a time come first."""
+def event_stream(spark, sf, late_seconds=0):
+    """The events as a stream of ticks: files of bounded size in order of arrival, one a trigger.
+    An event arrives up to ``late_seconds`` after its time; events without a time come first."""
     landing, rows = shared_folder(spark), table(spark, sf, "events")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
+    if late_seconds:
+        at = at + F.pmod(F.xxhash64("event_id"), F.lit(late_seconds)) * 1_000_000
     parts = max(3, -(-rows.count() // LANDED_ROWS))
-    cuts = rows.select(at.cast("double").alias("at")).approxQuantile(
-        "at", [i / parts for i in range(1, parts)], 0.001)
-    for i, (low, high) in enumerate(zip([float("-inf"), *cuts], [*cuts, float("inf")])):
-        timeless = at.isNull() if i == 0 else F.lit(False)
-        slice_ = rows.filter(((at > low) & (at <= high)) | timeless)
-        slice_.coalesce(1).write.mode("append").parquet(landing)
+    rows.repartitionByRange(parts, at).sortWithinPartitions(at).write.parquet(landing)
+    in_order(spark, landing)
     return jobs.read_stream(spark, landing, rows.schema, files_per_trigger=1).select(
         F.col("event_id").alias("id"), F.upper("event_type").alias("symbol"),
         F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"),
         F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"))
 
 
+def in_order(spark, folder):
+    """Date a folder's files by their partition, as a stream takes them by date."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in store.listStatus(path)
+                    if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    now = int(time.time() * 1000)
+    for i, file in enumerate(files):
+        store.setTimes(file, now - 1000 * (len(files) - i), -1)
+
+
 def market():
     return F.when(F.col("id") % 3 == 0, "stocks").when(F.col("id") % 3 == 1, "crypto") \
         .otherwise("forex")
@@ -210,6 +222,86 @@ def _(spark, sf):
         "id", "symbol", "ts", "price")
 
 
+# -- by event time -------------------------------------------------------------------
+# Events arrive up to nine minutes late; what the watermark has passed equals the table's result.
+
+PIECE_MS, DAY_MS = 6 * 3_600_000, 24 * 3_600_000
+PASSED = f"""(floor(epoch_ms(ts) / {PIECE_MS}) + 1) * {PIECE_MS}
+  <= epoch_ms((SELECT max(ts) FROM ticks)) - 600000"""
+
+
+def late_ticks(spark, sf):
+    jobs.use_rocksdb(spark)
+    return agg.with_watermark(event_stream(spark, sf, 540), "10 minutes")
+
+
+@query("stream_rolling_late", with_ctes(
+    TICKS, "tk AS (SELECT *, price AS close FROM ticks)", zscore_cte("tk", 51, "z1"), f"""
+rt AS (SELECT *, avg(price) OVER {frame(20)} AS sma_20, stddev_samp(price) OVER {frame(20)} AS volatility
+  FROM z1)""", body=f"""
+SELECT id, symbol, {rounded_sql('sma_20', 'volatility', 'price_zscore', 'volume_zscore')}
+FROM rt WHERE {PASSED}"""))
+def _(spark, sf):
+    return drain(spark, proc.stream_rolling(late_ticks(spark, sf), piece_ms=PIECE_MS)).select(
+        "id", "symbol", *rounded("sma_20", "volatility", "price_zscore", "volume_zscore"))
+
+
+@query("stream_previous_quote_expiry", with_ctes(TICKS, f"""
+pq AS (SELECT *, lag(ts) OVER ({W}) AS pt, lag(price) OVER ({W}) AS pp, lag(volume) OVER ({W}) AS pv
+  FROM ticks)""", body=f"""
+SELECT id, symbol, CASE WHEN ts - pt <= INTERVAL 20 MINUTE THEN pp END AS previous_price,
+  CASE WHEN ts - pt <= INTERVAL 20 MINUTE THEN pv::DOUBLE END AS previous_volume
+FROM pq WHERE {PASSED}"""))
+def _(spark, sf):
+    return drain(spark, proc.stream_previous_quote(
+        late_ticks(spark, sf), 20 * 60_000, PIECE_MS)).select(
+        "id", "symbol", "previous_price", "previous_volume")
+
+
+KINDS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
+EVENT_USERS = USERS.replace("""['Brand#' || (c_nationkey + 1),
+    'Brand#' || ((c_nationkey + 7) % 25 + 1)]""", f"""list_transform([c_nationkey % 5,
+    (c_nationkey + 2) % 5], lambda i: {list(KINDS)}[i + 1])""")
+
+
+def event_users(spark, sf):
+    """The alert users, with kinds of events as their symbols."""
+    kinds, nation = F.array(*[F.lit(k) for k in KINDS]), F.col("c_nationkey").cast("int")
+    wanted = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.when(
+        F.col("c_custkey") % 97 == 0, F.array().cast("array<string>")).otherwise(
+        F.array(F.get(kinds, nation % 5), F.get(kinds, (nation + 2) % 5))).alias("symbols"))
+    return users(spark, sf).drop("symbols").join(wanted, "user_id")
+
+
+@query("event_path", with_ctes(TICKS, EVENT_USERS, f"""
+pq AS (SELECT *, lag(price) OVER ({W}) AS pp, lag(volume) OVER ({W}) AS pv FROM ticks
+  WHERE symbol IS NOT NULL AND price IS NOT NULL AND volume IS NOT NULL)""", """
+pm AS (SELECT *, CASE WHEN pp > 0 THEN floor((price - pp) / pp * 100 * 10000 + 0.5) / 10000
+    WHEN pp < 0 THEN 0 END AS ch,
+  CASE WHEN pp <> 0 AND pv <> 0 THEN floor(volume / pv * 100 + 0.5) / 100 END AS vr FROM pq)""", f"""
+found AS (SELECT *, symbol || '|' || id AS alert_id,
+  CASE WHEN abs(coalesce(ch, 0)) >= 15 OR (coalesce(vr > 5, false) AND vr >= 10) THEN 'critical'
+    WHEN abs(coalesce(ch, 0)) >= 10 THEN 'warning' ELSE 'info' END AS severity FROM pm
+  WHERE (coalesce(abs(ch) > 10, false) OR coalesce(vr > 5, false) OR price <= 0) AND {PASSED})""", f"""
+rk AS (SELECT * FROM (VALUES ('info', 1), ('warning', 2), ('critical', 3)) t(name, rank)),
+matched AS (SELECT a.alert_id, a.symbol, a.ts, a.severity, u.user_id, u.channels
+  FROM found a JOIN users u ON list_contains(u.symbols, a.symbol) OR len(u.symbols) = 0
+  JOIN rk x ON x.name = a.severity JOIN rk y ON y.name = u.severity_threshold
+  WHERE x.rank >= y.rank AND (a.severity = 'critical' OR strftime(a.ts, '%H:%M') BETWEEN
+    coalesce(u.start_at, '00:00') AND coalesce(u.end_at, '23:59'))),
+firsts AS (SELECT user_id, symbol, min((ts, alert_id)) AS f,
+    arg_min((severity, channels), (ts, alert_id)) AS s FROM matched
+  GROUP BY user_id, symbol, floor(epoch_ms(ts) / {DAY_MS}))""", body="""
+SELECT user_id, symbol, f[1]::TIMESTAMP AS ts, f[2] AS alert_id, s[1] AS severity,
+  unnest(s[2]) AS channel FROM firsts"""))
+def _(spark, sf):
+    """Quotes, anomalies, alerts, audience, pacing and channels in one stream."""
+    jobs.use_rocksdb(spark)
+    out = events.notifications(event_stream(spark, sf, 540), event_users(spark, sf),
+                               piece_ms=PIECE_MS, period_ms=DAY_MS)
+    return plain_time(drain(spark, out)).drop("text")
+
+
 # -- stream sinks and jobs -----------------------------------------------------------
 
 TICK_COLS = ("id", "symbol", "ts", "price", "volume")

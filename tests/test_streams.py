@@ -5,10 +5,11 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tickloom.operators.series import Series
-from tickloom.operators import lookups
+from tickloom.operators import alerts, lookups
+from tickloom.plans import events
 from tickloom.streaming import aggregates as agg, jobs, processors as proc
 
 T0 = dt.datetime(2024, 1, 1)
@@ -72,6 +73,93 @@ def test_stream_ema_and_previous_quote(spark, ticks, tmp_path):
                                batch["previous_price"].astype(float))
 
 
+def arriving(ticks, seed=2):
+    """Ticks in order of arrival: up to nine minutes late, so most triggers hold older rows."""
+    rng = np.random.default_rng(seed)
+    late = ticks["ts"] + pd.to_timedelta(rng.integers(0, 540, len(ticks)), unit="s")
+    return ticks.iloc[np.argsort(late.to_numpy(), kind="stable")]
+
+
+MINUTE_MS = 60_000
+
+
+def closed_rows(ticks, piece_ms):
+    """Rows of pieces that the watermark, ten minutes behind the newest row, has passed."""
+    end = (ticks["ts"].astype("datetime64[ms]").astype("int64") // piece_ms + 1) * piece_ms
+    mark = int(ticks["ts"].max().timestamp() * 1000) - 10 * MINUTE_MS
+    return end <= mark
+
+
+@pytest.mark.parametrize("piece_ms", [MINUTE_MS, 7 * MINUTE_MS])
+def test_late_rows_give_the_tables_result(spark, ticks, tmp_path, piece_ms):
+    jobs.use_rocksdb(spark)
+    land(spark, arriving(ticks), tmp_path / "in", 7)
+    rows = agg.with_watermark(stream_of(spark, tmp_path / "in"), "10 minutes")
+    got = run(spark, proc.stream_rolling(rows, piece_ms=piece_ms), tmp_path / "a").toPandas()
+    got = got.sort_values("id", ignore_index=True)
+    want = ticks[closed_rows(ticks, piece_ms)].reset_index(drop=True)
+    assert got["id"].tolist() == want["id"].tolist() and len(want) > 200
+    g = ticks.groupby("symbol")["price"]
+    sma = g.transform(lambda x: x.rolling(20, min_periods=1).mean())
+    np.testing.assert_allclose(got["sma_20"], sma[:len(got)], rtol=1e-9)
+    ema = run(spark, proc.stream_ema(rows, piece_ms), tmp_path / "b").toPandas()
+    line = (g.transform(lambda x: x.ewm(span=12, adjust=False).mean())
+            - g.transform(lambda x: x.ewm(span=26, adjust=False).mean()))
+    np.testing.assert_allclose(ema.sort_values("id")["macd_line"], line[:len(got)], atol=1e-9)
+
+
+@pytest.mark.parametrize("piece_ms", [None, MINUTE_MS])
+def test_quotes_are_forgotten_after_a_gap(spark, tmp_path, piece_ms):
+    jobs.use_rocksdb(spark)
+    seconds = [0, 30, 100, 2000, 2010, 2130, 9000, 20000]
+    pdf = pd.DataFrame({"symbol": "A", "id": range(len(seconds)),
+                        "ts": [T0 + dt.timedelta(seconds=s) for s in seconds],
+                        "price": np.arange(1.0, 9.0), "volume": 5})
+    land(spark, pdf, tmp_path / "in", 4)
+    rows = agg.with_watermark(stream_of(spark, tmp_path / "in"), "1 minute")
+    out = run(spark, proc.stream_previous_quote(rows, 120_000, piece_ms), tmp_path).toPandas()
+    got = out.sort_values("id")["previous_price"].tolist()
+    want = [None, 1.0, 2.0, None, 4.0, 5.0, None, None]
+    got = [None if np.isnan(x) else x for x in got]
+    assert got == (want if piece_ms is None else want[:7])
+
+
+def test_event_path_over_a_restart(spark, tmp_path):
+    """Late quotes, several triggers, a stop in between: as from tables, one row per channel."""
+    rng = np.random.default_rng(4)
+    n = 400
+    pdf = pd.DataFrame({"symbol": rng.choice(["HOT", "HOT", "B", "C"], n), "id": range(n),
+                        "ts": [T0 + dt.timedelta(seconds=30 * i) for i in range(n)],
+                        "price": 100 * np.exp(rng.normal(0, 0.09, n)),
+                        "volume": rng.choice([1, 2, 7, 30], n)})
+    severities, hours = ["info", "warning", "critical"], [(None, None), ("01:00", "02:30")]
+    lists = [[], ["HOT"], ["B", "HOT"], None]
+    users = spark.createDataFrame(
+        [(i, [["email"], ["email", "sms"], []][i % 3], severities[i % 3], lists[i % 4], *hours[i % 2])
+         for i in range(24)], "user_id int, channels array<string>, severity_threshold string, "
+                              "symbols array<string>, start_at string, end_at string")
+    jobs.use_rocksdb(spark)
+    order = arriving(pdf, 8)
+    for part in (order.iloc[:170], order.iloc[170:]):
+        land(spark, part, tmp_path / "in", 3)
+        out = events.notifications(stream_of(spark, tmp_path / "in"), users, keep_ms=600_000,
+                                   piece_ms=5 * MINUTE_MS)
+        jobs.to_files(out, f"{tmp_path}/out", f"{tmp_path}/state", every=None).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out").toPandas()
+    table = spark.createDataFrame(pdf[closed_rows(pdf, 5 * MINUTE_MS)], SCHEMA)
+    before = lookups.previous_quote(table, Series(unit="HOUR", ties=("id",)), "price")
+    gap = F.lag("ts").over(Window.partitionBy("symbol").orderBy("ts", "id"))
+    recent = F.col("ts") - gap <= F.expr("INTERVAL 10 MINUTES")
+    known = before.withColumns({c: F.when(recent, F.col(c)) for c in ("previous_price", "previous_volume")})
+    found = events.alerts_of(known)
+    limited = alerts.limited_notifications(found, users).join(
+        found.select("alert_id", "severity", "formatted_message"), "alert_id")
+    want = alerts.notification_plan(limited).toPandas()
+    key = ["user_id", "channel", "alert_id", "symbol", "severity", "text"]
+    assert len(want) > 100 and set(want["severity"]) == set(severities)
+    assert sorted(map(tuple, got[key].values)) == sorted(map(tuple, want[key].values))
+
+
 def test_windows_late_rows_and_open_end(spark, ticks, tmp_path):
     late = ticks.iloc[[0]].assign(id=999)  # older than the watermark when it arrives
     land(spark, ticks, tmp_path / "in", 2)

@@ -1,10 +1,16 @@
 """Keyed state for row-ordered logic on streams.
 
 Spark has no row windows on streams, so each symbol keeps a small state: the last rows, the
-running averages, or the previous quote. Rows of one trigger are put in event-time order
-before they are applied, so a task holds a symbol's rows of one trigger: give the source files of
-bounded size and a number of files (or bytes) per trigger. A row that arrives in a later trigger
-than younger rows is applied in order of arrival.
+running averages, or the previous quote. Two modes:
+
+- By arrival (``piece_ms`` None): rows of one trigger are put in event-time order and applied, so a
+  task holds a symbol's rows of one trigger. A row that arrives in a later trigger than younger
+  rows is applied in order of arrival.
+- By event time (``piece_ms``, on a stream with a watermark): rows wait in the state, a piece of
+  event time each, until the watermark has passed the piece. Then the piece is sorted and applied.
+  Rows within the watermark's delay give the table's result whenever they arrive, and a task holds
+  an Arrow batch of arriving rows or one piece of one symbol. The output has ``closed``, the end of
+  a row's piece, as its event time, so that further state can follow it.
 """
 
 from __future__ import annotations
@@ -13,7 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROWS = 51       # frame of the z-scores, current row included
@@ -24,23 +31,90 @@ def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(["ts", "id"], kind="stable", ignore_index=True)
 
 
-class RollingProcessor(StatefulProcessor):
+class RowProcessor(StatefulProcessor):
+    """Applies a symbol's rows in order. Subclasses open their state in ``open`` and give the
+    output of some rows, in order and later than all before, in ``apply``; ``idle`` hears of the
+    timers that ``wake`` has set."""
+
+    COLUMNS = ""
+
+    def __init__(self, piece_ms: int | None = None, carry: tuple[str, ...] = ()) -> None:
+        self.piece_ms, self.carry = piece_ms, carry
+
+    @property
+    def output(self) -> str:
+        kept = "".join(f"{c} string, " for c in self.carry)
+        closed = ", closed timestamp" if self.piece_ms else ""
+        return ("symbol string, id bigint, ts timestamp, price double, volume bigint, "
+                f"{kept}{self.COLUMNS}{closed}")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        if self.piece_ms:
+            self.waiting = handle.getMapState("waiting", "piece bigint", "rows array<binary>")
+        self.open(handle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if not self.piece_ms:
+            yield self._with_head(key, _ordered(rows))
+            return
+        for chunk in rows:
+            pieces = chunk["at"] // (self.piece_ms * 1000)
+            for piece, part in chunk.groupby(pieces, sort=False):
+                place = (int(piece),)
+                held = list(self.waiting.getValue(place)[0]) if self.waiting.containsKey(place) else []
+                if not held:
+                    self.handle.registerTimer((int(piece) + 1) * self.piece_ms)
+                self.waiting.updateValue(place, ([*held, _packed(part)],))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        place = (due // self.piece_ms - 1,)
+        if due % self.piece_ms == 0 and self.waiting.containsKey(place):
+            rows = _ordered(map(_unpacked, self.waiting.getValue(place)[0]))
+            self.waiting.removeKey(place)
+            yield self._with_head(key, rows).assign(closed=pd.Timestamp(due, unit="ms"))
+        self.idle(due)
+
+    def _with_head(self, key, new: pd.DataFrame) -> pd.DataFrame:
+        head = pd.DataFrame({"symbol": key[0], **{
+            c: new[c] for c in ("id", "ts", "price", "volume", *self.carry)}})
+        return pd.concat([head, self.apply(new)], axis=1)
+
+    def wake(self, at_ms: int) -> None:
+        self.handle.registerTimer(at_ms)
+
+    def idle(self, due: int) -> None:
+        pass
+
+    def close(self) -> None:
+        pass
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(data)).read_all().to_pandas()
+
+
+class RollingProcessor(RowProcessor):
     """Indicators over 20 rows and z-scores over 51, from one ring buffer per symbol. ``carry``
     names text columns that rows keep."""
 
-    def __init__(self, carry: tuple[str, ...] = ()) -> None:
-        self.carry = carry
-        self.OUTPUT = ("symbol string, id bigint, ts timestamp, price double, volume bigint, "
-                       + "".join(f"{c} string, " for c in carry)
-                       + "price_change double, price_change_pct double, sma_20 double, "
-                       "volatility double, volume_sma double, price_zscore double, "
-                       "volume_zscore double, is_anomaly boolean, anomaly_severity string")
+    COLUMNS = ("price_change double, price_change_pct double, sma_20 double, "
+               "volatility double, volume_sma double, price_zscore double, "
+               "volume_zscore double, is_anomaly boolean, anomaly_severity string")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.past = handle.getListState("past", "price double, volume double")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _ordered(rows)
+    def apply(self, new: pd.DataFrame) -> pd.DataFrame:
         old = pd.DataFrame(list(self.past.get()), columns=["price", "volume"], dtype="float64")
         both = pd.concat([old, new[["price", "volume"]].astype("float64")], ignore_index=True)
         price, volume = both["price"], both["volume"]
@@ -61,9 +135,7 @@ class RollingProcessor(StatefulProcessor):
                 [pz.abs() > 5, pz.abs() > 3, vz.abs() > 3], ["CRITICAL", "HIGH", "MEDIUM"],
                 "LOW")}).iloc[len(old):].reset_index(drop=True)
         self.past.put(list(both.tail(ROWS - 1).itertuples(index=False, name=None)))
-        head = pd.DataFrame({"symbol": key[0], **{
-            c: new[c] for c in ("id", "ts", "price", "volume", *self.carry)}})
-        yield pd.concat([head, out], axis=1)
+        return out
 
     @staticmethod
     def _z(values: pd.Series, window) -> pd.Series:
@@ -72,17 +144,14 @@ class RollingProcessor(StatefulProcessor):
         flat = window.max() == window.min()
         return ((values - window.mean()) / deviation).where(~flat)
 
-    def close(self) -> None:
-        pass
 
-
-class EmaProcessor(StatefulProcessor):
+class EmaProcessor(RowProcessor):
     """Running averages and MACD; the state is three numbers per symbol."""
 
-    OUTPUT = ("symbol string, id bigint, ts timestamp, price double, ema_12 double, "
-              "ema_26 double, macd_line double, signal_line double, macd_histogram double")
+    COLUMNS = ("ema_12 double, ema_26 double, macd_line double, signal_line double, "
+               "macd_histogram double")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "fast double, slow double, signal double")
 
     @staticmethod
@@ -91,74 +160,81 @@ class EmaProcessor(StatefulProcessor):
         out = series.ewm(span=period, adjust=False).mean().to_numpy()
         return out if seed is None else out[1:]
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _ordered(rows)
+    def apply(self, new: pd.DataFrame) -> pd.DataFrame:
         fast, slow, signal = self.last.get() if self.last.exists() else (None, None, None)
         price = new["price"].to_numpy(dtype="float64")
         e12, e26 = self._run(price, fast, 12), self._run(price, slow, 26)
         line = e12 - e26
         sig = self._run(line, signal, 9)
         self.last.update((float(e12[-1]), float(e26[-1]), float(sig[-1])))
-        yield pd.DataFrame({"symbol": key[0], "id": new["id"], "ts": new["ts"], "price": price,
-                            "ema_12": e12, "ema_26": e26, "macd_line": line,
-                            "signal_line": sig, "macd_histogram": line - sig})
+        return pd.DataFrame({"ema_12": e12, "ema_26": e26, "macd_line": line, "signal_line": sig,
+                             "macd_histogram": line - sig})
 
-    def close(self) -> None:
-        pass
 
+class PreviousQuoteProcessor(RowProcessor):
+    """Previous price and volume of a symbol. With ``keep_ms`` a quote that comes more than that
+    after the last one, by event time, has no previous one; by event time the forgotten state is
+    removed by a timer, by arrival it stays until the symbol's next quote."""
 
-class PreviousQuoteProcessor(StatefulProcessor):
-    """Previous price and volume of a symbol.
+    COLUMNS = "previous_price double, previous_volume double"
 
-    With ``keep_ms`` a symbol is forgotten after that long without quotes. Spark then keeps
-    polling the clock, so such a query needs a processing-time trigger; under availableNow it
-    would not end.
-    """
-
-    OUTPUT = ("symbol string, id bigint, ts timestamp, price double, volume bigint, "
-              "previous_price double, previous_volume double")
-
-    def __init__(self, keep_ms: int | None = None) -> None:
+    def __init__(self, keep_ms: int | None = None, piece_ms: int | None = None,
+                 carry: tuple[str, ...] = ()) -> None:
+        super().__init__(piece_ms, carry)
         self.keep_ms = keep_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "price double, volume double", self.keep_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _ordered(rows)
-        price, volume = self.last.get() if self.last.exists() else (None, None)
-        self.last.update((float(new["price"].iloc[-1]), float(new["volume"].iloc[-1])))
-        before = new[["price", "volume"]].astype("float64").shift(1)
-        before.loc[0] = [price, volume]
-        yield pd.DataFrame({"symbol": key[0], "id": new["id"], "ts": new["ts"],
-                            "price": new["price"], "volume": new["volume"],
-                            "previous_price": before["price"].astype("float64"),
-                            "previous_volume": before["volume"].astype("float64")})
-
-    def close(self) -> None:
-        pass
-
-
-def _stateful(stream: DataFrame, processor, time_mode: str, carry: tuple[str, ...] = (),
-              event_time: str = "") -> DataFrame:
-    rows = stream.select("symbol", "id", "ts", "price", "volume", *carry)
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "price double, volume double, at bigint")
+
+    def apply(self, new: pd.DataFrame) -> pd.DataFrame:
+        price, volume, at = self.last.get() if self.last.exists() else (None, None, None)
+        past = new[["price", "volume", "at"]].astype({"price": "float64", "volume": "float64"}).shift(1)
+        past = past.astype({"at": "Int64"})
+        past.loc[0] = [price, volume, at]
+        last_at = int(new["at"].iloc[-1])
+        self.last.update((float(new["price"].iloc[-1]), float(new["volume"].iloc[-1]), last_at))
+        if self.keep_ms is not None:
+            late = (new["at"] - past["at"] > self.keep_ms * 1000).fillna(True)
+            past.loc[late, ["price", "volume"]] = np.nan
+            if self.piece_ms:  # at a piece's end, so that rows that wait come first
+                self.wake((self._forgotten(last_at) // self.piece_ms + 1) * self.piece_ms)
+        return pd.DataFrame({"previous_price": past["price"].astype("float64"),
+                             "previous_volume": past["volume"].astype("float64")})
+
+    def _forgotten(self, at: int) -> int:
+        """The first millisecond at which a quote would come too late."""
+        return at // 1000 + self.keep_ms + 1
+
+    def idle(self, due: int) -> None:
+        if self.keep_ms is not None and self.last.exists():
+            at = self.last.get()[2]
+            if self._forgotten(at) <= due:
+                self.last.clear()
+
+
+def _stateful(stream: DataFrame, processor: RowProcessor, watermarked: bool = False) -> DataFrame:
+    rows = stream.select("symbol", "id", "ts", "price", "volume", *processor.carry,
+                         F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    by_time = processor.piece_ms is not None
+    if by_time:
+        rows = rows.filter(F.col("ts").isNotNull())  # no watermark would ever pass them
     return rows.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=processor.OUTPUT, outputMode="Append",
-        timeMode=time_mode, eventTimeColumnName=event_time)
+        statefulProcessor=processor, outputStructType=processor.output, outputMode="Append",
+        timeMode="EventTime" if by_time or watermarked else "None",
+        eventTimeColumnName="closed" if by_time else "ts" if watermarked else "")
 
 
-def stream_rolling(stream: DataFrame, carry: tuple[str, ...] = (), watermarked: bool = False
-                   ) -> DataFrame:
+def stream_rolling(stream: DataFrame, carry: tuple[str, ...] = (), watermarked: bool = False,
+                   piece_ms: int | None = None) -> DataFrame:
     """Indicators and z-scores of each row. With ``watermarked`` (the stream has a watermark on
     ``ts``) the result has one too, so that time windows can follow; later rows are left out."""
-    return _stateful(stream, RollingProcessor(carry), "EventTime" if watermarked else "None",
-                     carry, "ts" if watermarked else "")
+    return _stateful(stream, RollingProcessor(piece_ms, carry), watermarked)
 
 
-def stream_ema(stream: DataFrame) -> DataFrame:
-    return _stateful(stream, EmaProcessor(), "None")
+def stream_ema(stream: DataFrame, piece_ms: int | None = None) -> DataFrame:
+    return _stateful(stream, EmaProcessor(piece_ms))
 
 
-def stream_previous_quote(stream: DataFrame, keep_ms: int | None = None) -> DataFrame:
-    return _stateful(stream, PreviousQuoteProcessor(keep_ms),
-                     "ProcessingTime" if keep_ms else "None")
+def stream_previous_quote(stream: DataFrame, keep_ms: int | None = None,
+                          piece_ms: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    return _stateful(stream, PreviousQuoteProcessor(keep_ms, piece_ms, carry))
