@@ -17,7 +17,7 @@ from tickloom.plans import events, live
 from tickloom.session import shared_folder
 from tickloom.sinks import tables as sink
 from tickloom.sources import bars as src
-from tickloom.streaming import aggregates as agg, jobs, processors as proc
+from tickloom.streaming import aggregates as agg, alarms, jobs, processors as proc
 
 
 #: Rows of a landed file, and so of a micro-batch.
@@ -72,7 +72,11 @@ def drain(spark, stream, **kwargs):
 
 
 def plain_time(df):
-    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return plain_time_of(df, "ts")
+
+
+def plain_time_of(df, col):
+    return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
 
 
 # -- windows -------------------------------------------------------------------------
@@ -157,6 +161,40 @@ def _(spark, sf):
     return agg.threshold_alarm(metrics, 30.0).withColumn("statistic", r("statistic"))
 
 
+ALARM_PERIODS = f"""
+averaged AS (SELECT event_type AS stream, time_bucket(INTERVAL 5 MINUTE, ts)::TIMESTAMP AS period,
+  avg(value) AS statistic FROM events GROUP BY ALL),
+closed AS (SELECT * FROM averaged
+  WHERE period + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE),
+pairs AS (SELECT *, lag(period) OVER o AS lp, lag(statistic) OVER o AS ls FROM closed
+  WINDOW o AS (PARTITION BY stream ORDER BY period)),
+ringing AS (SELECT stream, period FROM pairs
+  WHERE statistic > 30 AND ls > 30 AND lp = period - INTERVAL 5 MINUTE)"""
+CHANGES = """
+SELECT stream, period, 'ALARM' AS state FROM ringing r WHERE NOT EXISTS (
+  FROM ringing q WHERE q.stream = r.stream AND q.period = r.period - INTERVAL 5 MINUTE)
+UNION ALL SELECT stream, period + INTERVAL 5 MINUTE, 'OK' FROM ringing r WHERE NOT EXISTS (
+  FROM ringing q WHERE q.stream = r.stream AND q.period = r.period + INTERVAL 5 MINUTE)"""
+
+
+@query("stream_alarms", "WITH " + ALARM_PERIODS + f"""
+SELECT * FROM ({CHANGES}) WHERE state = 'ALARM' OR
+  period + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def _(spark, sf):
+    jobs.use_rocksdb(spark)
+    metrics = event_stream(spark, sf, 540).select(
+        F.lower("symbol").alias("stream"), "ts", F.col("price").alias("value"))
+    return plain_time_of(drain(spark, alarms.stream_alarms(metrics, 30.0)), "period")
+
+
+@query("alarm_changes", "WITH " + ALARM_PERIODS.replace(
+    "WHERE period + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE", "")
+    + CHANGES)
+def _(spark, sf):
+    metrics = table(spark, sf, "events").select(F.col("event_type").alias("stream"), "ts", "value")
+    return alarms.alarm_changes(agg.threshold_alarm(metrics, 30.0))
+
+
 # -- keyed state ---------------------------------------------------------------------
 
 ROLL = ("price_change", "price_change_pct", "sma_20", "volatility", "volume_sma")
