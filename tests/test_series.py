@@ -65,6 +65,58 @@ def test_ema_equals_the_recursion(bars, block):
         np.testing.assert_allclose(out[f"ema_{p}"], want, rtol=1e-11)
 
 
+@pytest.mark.parametrize("periods", [(2, 300), (1000,)])
+def test_long_averages_over_many_blocks(bars, periods, monkeypatch):
+    """More blocks count than a run holds, and no row comes in twice."""
+    monkeypatch.setattr(ema, "RUN", 3)
+    s = Series(unit="MONTH", block_rows=6)
+    wide, cut = ema.spread_for(bars, s, ema.Averages("close", periods))
+    assert wide.groupBy("symbol", "_block").count().agg(F.max("count")).first()[0] <= 7
+    out = frame(cut.own(wide.withColumns({f"ema_{p}": ema.ema(cut, "close", p) for p in periods})),
+                "close", *[f"ema_{p}" for p in periods])
+    assert len(out) == 761
+    for p in periods:
+        want = out.groupby("symbol")["close"].transform(
+            lambda x, p=p: x.ewm(span=p, adjust=False).mean())
+        np.testing.assert_allclose(out[f"ema_{p}"], want, rtol=1e-10)
+    adjusted = frame(ema.add_ema_adjusted(bars, s, periods=periods), *[f"ema_{p}" for p in periods])
+    for p in periods:
+        want = out.groupby("symbol")["close"].transform(lambda x, p=p: x.ewm(span=p).mean())
+        np.testing.assert_allclose(adjusted[f"ema_{p}"], want, rtol=1e-10)
+
+
+@pytest.mark.parametrize("spans", [(12, 26, 9), (9, 26, 9), (3, 200, 50)])
+def test_macd_of_any_spans_in_small_blocks(bars, spans):
+    out = frame(ind.macd(bars, Series(unit="MONTH", block_rows=11), fast=spans[0], slow=spans[1],
+                         signal=spans[2]), "close", "macd_line", "signal_line", "macd_signal")
+    g = out.groupby("symbol")["close"]
+    fast, slow = (g.transform(lambda x, p=p: x.ewm(span=p, adjust=False).mean()) for p in spans[:2])
+    line = fast - slow
+    np.testing.assert_allclose(out["macd_line"], line, atol=1e-9)
+    by = out["symbol"]
+    signal = line.groupby(by).transform(lambda x: x.ewm(span=spans[2], adjust=False).mean())
+    np.testing.assert_allclose(out["signal_line"], signal, atol=1e-9)
+    before, was = line.groupby(by).shift(1), signal.groupby(by).shift(1)
+    up = (line > signal) & (before <= was)
+    clear = (line - signal).abs() > 1e-9
+    assert (out["macd_signal"][clear] == "BULLISH_CROSSOVER").tolist() == up[clear].tolist()
+
+
+def test_features_do_not_depend_on_blocks(bars):
+    p = bars.select("symbol", "ts", F.col("close").alias("price"), "volume").filter("volume > 0")
+    cols = ["ema_12", "macd", "macd_signal", "rsi", "momentum_10"]
+    a, b = (frame(features.prediction_features(p, Series(unit="MONTH", block_rows=n)), *cols)
+            for n in (13, 1_000_000))
+    assert len(a) > 500
+    pd.testing.assert_frame_equal(a[cols], b[cols], rtol=1e-9, atol=1e-12)
+    want = frame(p, "price", "volume")
+    line = want.groupby("symbol")["price"].transform(
+        lambda x: x.ewm(span=12).mean() - x.ewm(span=26).mean())
+    signal = line.groupby(want["symbol"]).transform(lambda x: x.ewm(span=9).mean())
+    merged = a.merge(want.assign(want=signal), on=["symbol", "ts"])
+    np.testing.assert_allclose(merged["macd_signal"], merged["want"], atol=1e-9)
+
+
 def test_adjusted_ema_equals_pandas(bars):
     out = frame(ema.add_ema_adjusted(bars, Series(unit="MONTH", block_rows=50)), "close",
                 "ema_12", "ema_26")

@@ -7,9 +7,10 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numeric import percent, ratio
-from tickloom.operators.ema import ema_adjusted, spread_for
+from tickloom.operators.ema import Averages, ema_adjusted, spread_for, with_carries
 from tickloom.operators.indicators import rsi_from
 from tickloom.operators.series import DAILY, Series
+from tickloom.session import staged
 
 ANOMALY_FEATURES = ("price", "volume", "price_change", "volume_change", "volatility",
                     "price_volume_ratio")
@@ -66,7 +67,9 @@ def add_rsi_full(prices: DataFrame, series: Series = DAILY, rows: int = 14) -> D
 
 
 def prediction_features(prices: DataFrame, series: Series = DAILY) -> DataFrame:
-    wide, s = spread_for(prices, series, [12, 26], [9], before=22)
+    """The models' features. The signal averages the difference of two averages over blocks of
+    their own sums, so the rows are staged once with that difference."""
+    wide, s = spread_for(prices, series, Averages("price", (12, 26), adjusted=True), 22)
     price = F.col("price")
     wide = _gains(wide, s, "price")
     wide = wide.withColumns({
@@ -78,7 +81,8 @@ def prediction_features(prices: DataFrame, series: Series = DAILY) -> DataFrame:
         "rsi": rsi_full(wide, s),
         "momentum_5": ratio(price, s.lag("price", 5)) - 1,
         "momentum_10": ratio(price, s.lag("price", 10)) - 1})
-    wide = wide.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
+    wide = staged(wide.withColumn("macd", F.col("ema_12") - F.col("ema_26")), "macd")
+    wide, s = with_carries(wide, s, Averages("macd", (9,), adjusted=True))
     wide = wide.withColumn("macd_signal", ema_adjusted(s, "macd", 9))
     mid, dev = F.col("sma_20"), F.col("bollinger_std")
     return s.own(wide).drop("_change", "_gain", "_loss").withColumns({

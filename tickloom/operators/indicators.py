@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.numeric import percent, ratio
-from tickloom.operators.ema import ema, spread_for
+from tickloom.operators.ema import Averages, Blocks, ema, macd_signal, spread_for
 from tickloom.operators.series import DAILY, Series
 
 SMA_PERIODS = (5, 10, 20, 50, 200)
@@ -174,11 +174,11 @@ def realtime_indicators(bars: DataFrame, series: Series = DAILY) -> DataFrame:
     return series.run(bars, 21, realtime_step)
 
 
-def macd_step(df: DataFrame, sized: Series, col: str, fast: int, slow: int,
+def macd_step(df: DataFrame, sized: Blocks, col: str, fast: int, slow: int,
               signal: int) -> DataFrame:
     return (df.withColumns({"_fast": ema(sized, col, fast), "_slow": ema(sized, col, slow)})
             .withColumn("macd_line", F.col("_fast") - F.col("_slow"))
-            .withColumn("signal_line", ema(sized, "macd_line", signal))
+            .withColumn("signal_line", macd_signal(sized, "macd_line", col, signal))
             .withColumns({"macd_histogram": F.col("macd_line") - F.col("signal_line"),
                           "macd_signal": crossover_label(
                               F.col("macd_line"), F.col("signal_line"),
@@ -189,7 +189,7 @@ def macd_step(df: DataFrame, sized: Series, col: str, fast: int, slow: int,
 
 def macd(bars: DataFrame, series: Series = DAILY, col: str = "close", fast: int = 12,
          slow: int = 26, signal: int = 9) -> DataFrame:
-    wide, sized = spread_for(bars, series, [fast, slow], [signal])
+    wide, sized = spread_for(bars, series, Averages(col, macd=(fast, slow, signal)))
     return sized.own(macd_step(wide, sized, col, fast, slow, signal))
 
 
@@ -207,7 +207,8 @@ def composite_label(df: DataFrame) -> DataFrame:
 
 def all_indicators(bars: DataFrame, series: Series = DAILY) -> DataFrame:
     """Every indicator and the composite signal, from one spread of the table."""
-    wide, s = spread_for(bars, series, list(EMA_PERIODS), [9], before=max(SMA_PERIODS))
+    wide, s = spread_for(bars, series, Averages("close", EMA_PERIODS, macd=(12, 26, 9)),
+                         max(SMA_PERIODS))
     wide = wide.withColumns({f"ema_{p}": ema(s, "close", p) for p in EMA_PERIODS})
     for step in (sma_step, rsi_step, stochastic_step, williams_step):
         wide = step(wide, s)
