@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import alerts, features, forecast, lookups, quality
-from tickloom.operators.quantiles import exact_quantiles
+from tickloom.operators.quantiles import BINS_1, exact_quantiles, leading_bits
 from tickloom.sinks import tables as sink
 from tickloom.sources import bars as src, payloads
 
@@ -27,6 +27,34 @@ def test_quantiles_of_a_large_skewed_group(spark):
         np.testing.assert_allclose(row.quantiles, want, rtol=1e-12)
 
 
+def test_quantiles_by_radix(spark):
+    """Every rank of groups over all magnitudes, with ties, zeros of both signs and infinities."""
+    rng = np.random.default_rng(6)
+    wide = rng.choice([-1.0, 1.0], 3000) * 10.0 ** rng.uniform(-300, 300, 3000)
+    groups = {"wide": wide, "ties": rng.integers(-3, 4, 500).astype(float), "one": np.array([7.5]),
+              "narrow": 100 + rng.integers(0, 50, 4000) * 1e-13, "flat": np.full(300, -2.5),
+              "ends": np.concatenate([wide[:50], [np.inf, -np.inf, 5e-324, -5e-324, 0.0]])}
+    rows = [(k, float(v)) for k, values in groups.items() for v in values] + [("none", None), ("one", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    probs = [0.0, 0.001, 0.3333, 0.5, 0.75, 0.9999, 1.0]
+    found = {r.k: r for r in exact_quantiles(df, ["k"], "v", probs).collect()}
+    assert set(found) == set(groups)
+    for k, values in groups.items():
+        assert found[k].rows == len(values)
+        ordered = np.sort(values)
+        for p, got in zip(probs, found[k].quantiles):
+            rank = (len(values) - 1) * p
+            low, high = ordered[int(np.floor(rank))], ordered[int(np.ceil(rank))]
+            if low == high or rank == int(rank):
+                assert got == low
+            elif np.isfinite(low) and np.isfinite(high):
+                assert got == pytest.approx(low + (high - low) * (rank - np.floor(rank)), rel=1e-9)
+    bins = spark.createDataFrame([(float(v),) for v in np.sort(np.concatenate([wide, [0.0, np.inf, -np.inf]]))],
+                                 "v double").select("v", leading_bits(F.col("v")).alias("b")).orderBy("v")
+    order = [r.b for r in bins.collect()]
+    assert order == sorted(order) and max(map(abs, order)) * 2 + 1 <= BINS_1
+
+
 RAW = [  # symbol, timestamp, open, high, low, close, volume
     ("A", "2024-01-01 10:00:00", 1.0, 2.0, 0.5, 1.5, 10),
     ("A", "2024-01-01T10:00:00Z", 1.0, 2.0, 0.5, 1.2, 10),      # same time, other format

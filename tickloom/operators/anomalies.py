@@ -69,7 +69,7 @@ def critical_anomalies(flagged: DataFrame, top: int = 5) -> DataFrame:
 
 def zscore_global(features: DataFrame, cols=FEATURES, limit: float = 3.0) -> DataFrame:
     """|z| of each feature against the whole set. Mean and deviation are scalar subqueries,
-    planned as one shared aggregate."""
+    planned as one shared aggregate. ``features`` is read twice: stage it where it is costly."""
     stats = features.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s"))
                                     .alias(c) for c in cols]).alias("st"))
     out = features.withColumn("_st", stats.scalar())
@@ -81,7 +81,8 @@ def zscore_global(features: DataFrame, cols=FEATURES, limit: float = 3.0) -> Dat
 
 
 def iqr_outliers(features: DataFrame, cols=FEATURES, width: float = 1.5) -> DataFrame:
-    """Rows outside Q1 - width*IQR .. Q3 + width*IQR, per feature, quartiles interpolated."""
+    """Rows outside Q1 - width*IQR .. Q3 + width*IQR, per feature, quartiles interpolated.
+    ``features`` is read twice: stage it where it is costly."""
     # Only the columns' own values are needed for the quartiles.
     long = features.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
@@ -124,7 +125,9 @@ def combine_flags(both: DataFrame) -> DataFrame:
 
 def extreme_moves(priced: DataFrame, share: float = 0.95) -> DataFrame:
     """Moves above the symbol's own quantile of |change %|; high when over twice that."""
-    sized = priced.withColumn("_move", F.abs("price_change_percent"))
+    # Read for the limits and for the rows above them; what it comes from is computed once.
+    sized = staged(priced.select("symbol", "ts", "price_change_percent", F.abs("price_change_percent")
+                                 .alias("_move")), "moves")
     limits = (exact_quantiles(sized, ["symbol"], "_move", [share])
               .filter("rows >= 2")
               .select("symbol", F.col("quantiles")[0].alias("threshold")))

@@ -1,10 +1,13 @@
 """Exact interpolated quantiles without holding a group in memory.
 
-``percentile`` keeps every distinct value of a group in one buffer and so fails on a hot
-group. Here a sketch of fixed size brackets each wanted rank first; its error bound is
-guaranteed, so the exact order statistics lie inside the bracket. Only rows inside are then
-counted per value, which leaves under a thousandth of a group to be ordered, and of that only
-the bin that holds the rank. A rank outside its bracket is an error, never a wrong value.
+``percentile`` keeps every distinct value of a group in one buffer and so fails on a hot group.
+Here the rank is selected by radix, from coarse to fine. A histogram of the values' leading bits
+(sign, exponent and the first bits behind it, as the floor of a logarithm, which keeps their order)
+says in one pass, combined before the shuffle, which bin of each group holds the wanted rank, how
+many rows lie below it, and its least and largest value. The second pass counts the values of that
+bin only; of these the range of equal widths that holds the rank is picked, and ordered.
+
+A histogram has at most BINS_1 bins a group, whatever its size, and nothing is estimated.
 """
 
 from __future__ import annotations
@@ -13,69 +16,78 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.session import staged
 
-ACCURACY, BINS = 10_000, 4096
-
-
-def _bracket(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
-    """Per key and probability: row count, wanted ranks, and bounds that enclose them."""
-    slack = 4.0 / ACCURACY
-    asked = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-    k = len(probs)
-    sketch = df.groupBy(*keys).agg(
-        F.count(value).alias("rows"),
-        F.percentile_approx(value, asked, ACCURACY).alias("q"),
-        F.min(value).alias("least"), F.max(value).alias("most"))
-    # The slack is four times the sketch's error; over ACCURACY rows that also covers the two
-    # ranks an interpolated quantile needs. With fewer rows it may be less than a rank, so there
-    # the bracket is the whole group. Either way the ranks found are checked further down.
-    small = F.col("rows") <= ACCURACY
-    marks = F.array(*[F.struct(
-        F.lit(i).alias("i"),
-        ((F.col("rows") - 1) * F.lit(float(p))).alias("rank"),
-        F.when(small | F.lit(p - slack <= 0), F.col("least")).otherwise(F.col("q")[i])
-        .alias("low"),
-        F.when(small | F.lit(p + slack >= 1), F.col("most")).otherwise(F.col("q")[k + i])
-        .alias("high"))
-        for i, p in enumerate(probs)])
-    return sketch.filter("rows > 0").select(*keys, "rows", F.explode(marks).alias("m")).select(
-        *keys, "rows", "m.*")
+#: Bins of a power of two in the first step, and of the wanted bin's range in the second.
+PER_OCTAVE, BINS = 256, 4096
+#: Powers of two that a double reaches, from the least above zero.
+_OCTAVES = 2100
+BINS_1 = 2 * (_OCTAVES * PER_OCTAVE + 2) + 1
+
+
+def leading_bits(v: Column) -> Column:
+    """A number that grows with the value, the same for values whose leading bits are. Infinities
+    and NaN (above all else, as Spark orders them) have bins of their own."""
+    last = _OCTAVES * PER_OCTAVE
+    size = F.abs(v)
+    finite = (size < float("inf")) & ~F.isnan(v)
+    bin_ = F.floor(F.log2(F.when(finite & (size > 0), size)) * PER_OCTAVE) + 1075 * PER_OCTAVE
+    return (F.when(F.isnan(v), last + 1).when(v == float("inf"), last)
+            .when(v == float("-inf"), -last).when(v == 0, 0)
+            .when(v > 0, bin_).otherwise(-bin_)).cast("int")
+
+
+def _bracket(data: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Per key and probability: rows, rank, the bounds of the bins that hold it, rows below."""
+    hist = staged(data.groupBy(*keys, leading_bits(F.col("v")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")), "histogram")
+    group, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("bin").rowsBetween(
+        Window.unboundedPreceding, -1)
+    placed = hist.withColumns({"rows": F.sum("n").over(group),
+                               "below": F.coalesce(F.sum("n").over(before), F.lit(0))})
+    marks = placed.withColumn("m", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("i"), ((F.col("rows") - 1) * F.lit(float(p))).alias("rank"))
+        for i, p in enumerate(probs)]))).select("*", "m.*")
+
+    def holds(rank: Column) -> Column:
+        return (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
+
+    first, last = holds(F.floor("rank")), holds(F.ceil("rank"))
+    return marks.filter(first | last).groupBy(*keys, "rows", "i", "rank").agg(
+        F.min("least").alias("low"), F.max("most").alias("high"), F.min("below").alias("below"))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     few_keys: bool = False) -> DataFrame:
-    """keys, rows, quantiles array; linear interpolation between neighbouring ranks.
+    """keys, rows, quantiles array; linear interpolation between neighbouring ranks. Nulls are not
+    counted. ``df`` is read once; its keys and values are staged and read twice.
 
     Set ``few_keys`` only where the number of keys is fixed by the caller (such as a list of
     feature names): the bounds are then broadcast. Otherwise Spark picks the join by size.
     """
-    data = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    marks = _bracket(data, keys, "v", probs)
+    data = staged(df.select(*keys, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL"),
+                  "values")
+    marks = _bracket(data, keys, probs)
     if few_keys:
         marks = F.broadcast(marks)
-    # Rows under the bracket only need counting; those inside are counted per value, both in
-    # one map-side combined aggregate (rows below share the NULL value).
-    joined = data.join(marks, keys).filter("v <= high")
-    inside = F.when(F.col("v") >= F.col("low"), F.col("v"))
-    counted = (joined.groupBy(*keys, "rows", "i", "rank", "low", "high", inside.alias("x"))
+    counted = (data.join(marks, keys).filter("v >= low AND v <= high")
+               .groupBy(*keys, "rows", "i", "rank", "low", "high", "below", F.col("v").alias("x"))
                .agg(F.count(F.lit(1)).alias("n")))
     counted = staged(counted, "counted")
-    # Ranks in two steps, so that no task orders a whole bracket: which of BINS equal widths of
-    # the bracket holds the rank, then which value inside it.
-    slot = F.when(F.col("x").isNull(), -1).when(F.col("high") > F.col("low"), F.least(
-        F.floor((F.col("x") - F.col("low")) / (F.col("high") - F.col("low")) * BINS),
-        F.lit(BINS - 1))).otherwise(0).cast("int")
+    # No task orders a whole bin: which of BINS equal widths holds the rank, then which value in it.
+    width = F.col("high") - F.col("low")
+    slot = F.when((width > 0) & (width < float("inf")), F.least(
+        F.floor((F.col("x") - F.col("low")) / width * BINS), F.lit(BINS - 1))) \
+        .when(F.col("x") > F.col("low"), 1).otherwise(0).cast("int")
     counted = counted.withColumn("bin", slot)
     group = [*keys, "i"]
     before = (Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
-    bins = (counted.groupBy(*group, "rank", "bin").agg(F.sum("n").alias("n"))
-            .withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    bins = (counted.groupBy(*group, "rank", "below", "bin").agg(F.sum("n").alias("n"))
+            .withColumn("base", F.col("below") + F.coalesce(F.sum("n").over(before), F.lit(0))))
     low_rank, high_rank = F.floor("rank"), F.ceil("rank")
 
     def inside_bin(rank: Column) -> Column:
         return (F.col("base") <= rank) & (rank < F.col("base") + F.col("n"))
 
-    wanted = bins.filter((F.col("bin") >= 0) & (inside_bin(low_rank) | inside_bin(high_rank))) \
-        .select(*group, "bin", "base")
+    wanted = bins.filter(inside_bin(low_rank) | inside_bin(high_rank)).select(*group, "bin", "base")
     upto = (Window.partitionBy(*group, "bin").orderBy("x")
             .rowsBetween(Window.unboundedPreceding, 0))
     ranked = counted.join(wanted, [*group, "bin"]).withColumn(
@@ -85,14 +97,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         hit = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
         return F.min(F.when(hit, F.col("x")))
 
-    marks = bins.select(*group, "rank").distinct()
-    picked = marks.join(ranked.groupBy(*group).agg(
-        at(low_rank).alias("a"), at(high_rank).alias("b"), F.max("rows").alias("rows")),
-        group, "left")
-    missed = F.raise_error(F.lit("a quantile lies outside the bracket of its sketch"))
-    picked = picked.withColumns({c: F.when(F.col(c).isNull(), missed.cast("double"))
-                                .otherwise(F.col(c)) for c in "ab"})
-    point = F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - low_rank)
+    picked = ranked.groupBy(*group, "rows", "rank").agg(at(low_rank).alias("a"), at(high_rank).alias("b"))
+    part = F.col("rank") - low_rank
+    point = F.when(part == 0, F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * part)
     return (picked.groupBy(*keys, "rows")
             .agg(F.sort_array(F.collect_list(F.struct("i", point.alias("q")))).alias("qs"))
             .select(*keys, "rows", F.col("qs.q").alias("quantiles")))
