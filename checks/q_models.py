@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Window, functions as F
 
 from checks.fixtures import BARS, bars, r, rounded, rounded_sql, rsql, with_ctes
@@ -9,7 +10,7 @@ from checks.q_indicators import W, ema_adjusted_sql, frame
 from checks.registry import query
 from tickloom.functions.times import latest
 from tickloom.operators import (alerts as al, anomalies as an, features as ft, forecast as fc,
-                                isolation, summaries as sm, topk)
+                                isolation, summaries as sm, topk, validation as va)
 from tickloom.session import shared_folder, staged
 from tickloom.sinks.tables import run_row
 
@@ -315,6 +316,9 @@ def _(spark, sf):
         "horizon", "r2_ok", "direction_ok", "passed")
 
 
+TARGET_COLS = tuple(f"price_change_{h}d" for h in H)
+
+
 def training_table(spark, sf):
     """Features and targets, written once to the shared folder: the fits read it repeatedly."""
     path = shared_folder(spark)
@@ -335,30 +339,27 @@ def split_table(spark, sf):
     return staged(ft.chronological_split(training_table(spark, sf), 0.8), "split")
 
 
+def split_scores(spark, sf, penalties):
+    """Models of the earlier part of each series, scored on both parts, for every horizon."""
+    table = split_table(spark, sf).withColumn("fold", F.when(F.col("is_train"), 0).otherwise(1))
+    models = va.solve_folds(va.fold_moments(table, TARGET_COLS), penalties)
+    both = pd.concat([models, models.assign(fold=0)])
+    scored = fc.evaluate(va.predict_folds(table, both), "truth", "guess", "target", "penalty", "fold")
+    return by_horizon(scored).withColumn("is_train", F.col("fold") == 0).drop("fold")
+
+
+def by_horizon(scored):
+    return scored.withColumn("horizon", F.regexp_extract("target", r"(\d+)d$", 1).cast("int")).drop("target")
+
+
 @query("linear_forecast")
 def _(spark, sf):
-    """Fitted on the earlier part of each series, scored on both parts, for every horizon."""
-    table = split_table(spark, sf)
-    parts = []
-    for h in H:
-        target = f"price_change_{h}d"
-        model = fc.fit_linear(table.filter("is_train"), target)
-        parts.append(fc.evaluate(fc.apply_model(model, table), target, "linear", "is_train")
-                     .withColumn("horizon", F.lit(h)))
-    return union(parts)
+    return split_scores(spark, sf, (0.0,)).drop("penalty")
 
 
 @query("ridge_forecast")
 def _(spark, sf):
-    table = split_table(spark, sf)
-    parts = []
-    for h in H:
-        target = f"price_change_{h}d"
-        for alpha in (1.0, 0.5, 2.0):
-            model = fc.fit_ridge(table.filter("is_train"), target, alpha)
-            parts.append(fc.evaluate(fc.apply_model(model, table), target, "ridge", "is_train")
-                         .withColumns({"alpha": F.lit(alpha), "horizon": F.lit(h)}))
-    return union(parts)
+    return split_scores(spark, sf, (1.0, 0.5, 2.0)).withColumnRenamed("penalty", "alpha")
 
 
 @query("predict_latest", with_ctes(PRICES, PF, body="""
@@ -386,19 +387,66 @@ def _(spark, sf):
     return out.select("symbol", "ts", "horizon", "model", follows.alias("consistent"))
 
 
+def folded_table(spark, sf):
+    return staged(fc.assign_folds(training_table(spark, sf)), "folds")
+
+
 @query("time_series_cv")
 def _(spark, sf):
-    folded = staged(fc.assign_folds(training_table(spark, sf)), "folds")
-    return union(fc.cross_validate(folded, f"price_change_{h}d").withColumn("horizon", F.lit(h))
-                 for h in H)
+    return by_horizon(va.cross_validate(folded_table(spark, sf), TARGET_COLS)).drop("penalty")
 
 
 @query("time_series_cv_summary")
 def _(spark, sf):
     """Mean and deviation over the folds, per horizon."""
-    folded = staged(fc.assign_folds(training_table(spark, sf)), "folds")
-    return union(fc.fold_summary(fc.cross_validate(folded, f"price_change_{h}d"))
-                 .withColumn("horizon", F.lit(h)) for h in H)
+    return by_horizon(va.fold_summary(va.cross_validate(folded_table(spark, sf), TARGET_COLS))).drop(
+        "penalty")
+
+
+MOMENT_COLS = (*ft.PREDICTION_FEATURES, "y")
+FOLDED = TARGETS + f""",
+tr AS (SELECT pf.*, {', '.join(f'tg.{c}' for c in TARGET_COLS)} FROM pf JOIN tg USING (symbol, ts)),
+fo AS (SELECT *, row_number() OVER (ORDER BY ts, symbol) - 1 AS pos, count(*) OVER () AS total FROM tr),
+folded AS (SELECT *, CASE WHEN pos < total - total // 6 * 5 THEN 0
+  ELSE (pos - (total - total // 6 * 5)) // (total // 6) + 1 END::INT AS fold FROM fo),
+long AS (SELECT fold, {', '.join(ft.PREDICTION_FEATURES)}, unnest([{', '.join(TARGET_COLS)}]) AS y,
+  unnest({list(TARGET_COLS)}) AS target FROM folded)"""
+
+
+@query("fold_moments", with_ctes(PRICES, PF, FOLDED, body="""
+SELECT fold, target, n, c.i AS i, c.j AS j, """ + rsql("c.v") + """ AS correlation FROM (
+  SELECT fold, target, count(*) AS n, unnest([""" + ", ".join(
+    f"{{'i': {i}, 'j': {j}, 'v': corr({a}, {b})}}" for i, a in enumerate(MOMENT_COLS)
+    for j, b in enumerate(MOMENT_COLS) if i < j) + """]) AS c
+  FROM long WHERE y IS NOT NULL GROUP BY fold, target)"""))
+def _(spark, sf):
+    """The matrices that the models are solved from, as correlations."""
+    size = len(MOMENT_COLS)
+    moments = va.fold_moments(folded_table(spark, sf), TARGET_COLS)
+    cells = moments.select("fold", "target", "n", "products", F.posexplode("products").alias("at", "v"))
+    i, j = F.floor(F.col("at") / size), F.col("at") % size
+    spread = F.sqrt(F.get("products", (i * (size + 1)).cast("int"))
+                    * F.get("products", (j * (size + 1)).cast("int")))
+    return cells.filter(i < j).select(
+        "fold", "target", "n", i.cast("int").alias("i"), j.cast("int").alias("j"),
+        r(F.col("v") / spread).alias("correlation"))
+
+
+def anomaly_folds(spark, sf):
+    return va.forest_rates(staged(fc.assign_folds(ft.anomaly_features(prices(spark, sf))), "folds"),
+                           ft.ANOMALY_FEATURES)
+
+
+@query("anomaly_cv")
+def _(spark, sf):
+    """Anomaly rate of each fold under a forest of the folds before it."""
+    return anomaly_folds(spark, sf)
+
+
+@query("anomaly_cv_report")
+def _(spark, sf):
+    """Mean rate and deviation over the folds against their limits."""
+    return va.rate_summary(anomaly_folds(spark, sf))
 
 
 @query("time_series_folds", with_ctes(PRICES, """

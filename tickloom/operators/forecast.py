@@ -155,31 +155,3 @@ def assign_folds(df: DataFrame, folds: int = 5, series: Series = DAILY) -> DataF
     first = F.col("_total") - test * folds
     return placed.withColumn("fold", F.when(F.col("_at") < first, 0).otherwise(
         F.floor((F.col("_at") - first) / test) + 1).cast("int")).drop("_at", "_total")
-
-
-def cross_validate(folded: DataFrame, target: str, features=PREDICTION_FEATURES,
-                   folds: int = 5) -> DataFrame:
-    """Per fold: r2, mae and direction of a least-squares model of the folds before it.
-
-    ``folded`` should be a stored or persisted table: it is read once per fold.
-    """
-    scored = None
-    for i in range(1, folds + 1):
-        model = fit_linear(folded.filter(F.col("fold") < i), target, features)
-        part = apply_model(model, folded.filter(F.col("fold") == i)).select(
-            "fold", target, "linear")
-        scored = part if scored is None else scored.unionByName(part)
-    return evaluate(scored, target, "linear", "fold")
-
-
-def fold_summary(per_fold: DataFrame) -> DataFrame:
-    return per_fold.agg(*[f(c).alias(f"{c}_{n}") for c in ("r2", "mae", "direction_accuracy")
-                          for f, n in ((F.avg, "mean"), (F.stddev_pop, "deviation"))])
-
-
-def anomaly_rate_by_fold(folded: DataFrame) -> DataFrame:
-    """Rate of flagged rows per fold, its mean and deviation."""
-    rates = folded.filter("fold > 0").groupBy("fold").agg(
-        F.avg(F.col("is_anomaly").cast("int")).alias("rate"))
-    return rates.agg(F.avg("rate").alias("anomaly_rate"),
-                     F.stddev_pop("rate").alias("rate_deviation"))
