@@ -9,7 +9,10 @@ from checks.q_indicators import RSI, MACD, W
 from checks.q_tables import INDICATORS, METRICS, OHLC, QUOTES, indicators, quotes
 from checks.registry import query
 from tickloom.functions import labels
+from tickloom.functions.times import latest, since
 from tickloom.operators import (anomalies as an, documents as docs, lookups as lk, quality as q)
+from tickloom.session import shared_folder
+from tickloom.sinks import tables as sink
 from tickloom.sources import payloads as pl
 
 OHLC4 = rounded_sql(*OHLC)
@@ -351,6 +354,33 @@ def _(spark, sf):
         "warning")
 
 
+@query("route_documents", with_ctes(BARS, doc_cte("month"), body=f"""
+SELECT symbol, period, k AS branch, CASE WHEN k = 'intraday' THEN points::INT END AS intraday_points,
+  CASE WHEN k = 'intraday' THEN {rsql('list_min(c)')} END AS min_price,
+  CASE WHEN k = 'intraday' AND len(v) > 0 THEN list_sum(v) END::BIGINT AS total_volume,
+  CASE WHEN k = 'intraday' THEN {T3} END AS trend,
+  CASE WHEN k = 'daily' THEN points::INT END AS daily_points,
+  CASE WHEN k = 'daily' AND len(c) >= 20 THEN {rsql('list_avg(c[-20:])')} END AS sma_20,
+  CASE WHEN k = 'daily' AND len(c) >= 20 THEN {T5} END AS direction,
+  CASE WHEN k = 'generic' THEN 'generic_financial_data' END AS processed_as
+FROM (SELECT *, CASE month(period) % 3 WHEN 0 THEN 'intraday' WHEN 1 THEN 'daily' ELSE 'generic' END
+  AS k FROM dc)"""))
+def _(spark, sf):
+    """The branches of events that carry points, and of those of an unknown type."""
+    month = F.month("period") % 3
+    events = bar_documents(spark, sf, "MONTH").withColumns({
+        "data_type": F.when(month == 0, "intraday").when(month == 1, "daily").otherwise("mystery"),
+        "price": F.lit(None).cast("double"), "volume": F.lit(None).cast("bigint"),
+        "interval": F.lit("5min")})
+    stats, tech = F.col("intraday.summary_statistics"), F.col("daily.technical_indicators")
+    return q.route_by_type(events).select(
+        "symbol", "period", "branch", F.col("intraday.data_points_count").alias("intraday_points"),
+        r(stats["min_price"]).alias("min_price"), stats["total_volume"].alias("total_volume"),
+        F.col("intraday.trend").alias("trend"), F.col("daily.data_points_count").alias("daily_points"),
+        r(tech["sma_20"]).alias("sma_20"), tech["trend_direction"].alias("direction"),
+        F.col("generic.processed_as").alias("processed_as"))
+
+
 def envelopes(spark, sf):
     i = F.col("id")
     return typed_events(spark, sf).select(
@@ -375,6 +405,19 @@ def _(spark, sf):
     return q.dead_letter_split(envelopes(spark, sf)).select("id", "result")
 
 
+@query("write_dead_letters", with_ctes(TICKS, QUOTES, body=f"""
+SELECT id, symbol, price, volume, {ENV_OK} AS delivered FROM quotes"""))
+def _(spark, sf):
+    """Both folders written in one pass and read back one by one."""
+    base = shared_folder(spark)
+    split = q.dead_letter_split(envelopes(spark, sf)).select("id", "original_data", "result")
+    sink.write_dead_letters(split, base)
+    kinds = "id bigint, original_data struct<symbol:string,price:double,volume:bigint>"
+    ok, failed = (sink.read_delivered(spark, base, kinds, name).withColumn("delivered", F.lit(name == "Ok"))
+                  for name in ("Ok", "ProcessingFailed"))
+    return ok.unionByName(failed).select("id", "original_data.*", "delivered")
+
+
 EVENT_ANOMALIES = METRICS + """,
 ea AS (SELECT *, concat_ws(',',
   CASE WHEN abs(price_change_percent) > 10 THEN 'extreme_price_change_'
@@ -422,6 +465,30 @@ def _(spark, sf):
         F.col("macd_line"), F.col("signal_line"), F.col("macd_histogram")).alias("macd_label"))
 
 
+LAST_HOUR = "ts >= (SELECT max(ts) FROM bars) - INTERVAL 1 HOUR"
+
+
+@query("rsi_last_hour", with_ctes(BARS, RSI, body=f"""
+SELECT symbol, ts, {rsql('rsi')} AS rsi, CASE WHEN rsi > 70 THEN 'Overbought' WHEN rsi < 30
+  THEN 'Oversold' ELSE 'Neutral' END AS rsi_label FROM rsi WHERE {LAST_HOUR}"""))
+def _(spark, sf):
+    from tickloom.operators.indicators import rsi
+    b = bars(spark, sf)
+    return since(rsi(b), "1 HOUR", as_of=latest(b)).select("symbol", "ts", r("rsi").alias("rsi"),
+                                            labels.rsi_label(F.col("rsi")).alias("rsi_label"))
+
+
+@query("macd_last_hour", with_ctes(BARS, MACD, body=f"""
+SELECT symbol, ts, CASE WHEN macd_line > signal_line AND macd_histogram > 0 THEN 'Bullish'
+  WHEN macd_line < signal_line AND macd_histogram < 0 THEN 'Bearish' ELSE 'Neutral' END
+  AS macd_label FROM macd WHERE {LAST_HOUR}"""))
+def _(spark, sf):
+    from tickloom.operators.indicators import macd
+    b = bars(spark, sf)
+    return since(macd(b), "1 HOUR", as_of=latest(b)).select("symbol", "ts", labels.macd_label(
+        F.col("macd_line"), F.col("signal_line"), F.col("macd_histogram")).alias("macd_label"))
+
+
 @query("prediction_confidence", with_ctes(BARS, body="""
 SELECT symbol, ts, CASE WHEN abs((close - open) / open * 100) < 1 THEN 0.9
   WHEN abs((close - open) / open * 100) < 5 THEN 0.7 ELSE 0.5 END::DOUBLE AS confidence

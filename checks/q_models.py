@@ -514,14 +514,16 @@ def _(spark, sf):
 
 @query("run_metrics_table", with_ctes(PRICES, EV, body=f"""
 SELECT 'horizon-' || horizon AS run_id, 'moving_average' AS experiment, {rounded_sql('r2', 'mae')},
-  TIMESTAMP '2024-01-01' AS started_at FROM me"""))
+  TIMESTAMP '2024-01-01' AS started_at, 'scikit-learn' AS framework, '2.' || horizon AS version,
+  'baseline' AS purpose FROM me"""))
 def _(spark, sf):
     """Runs appended one evaluation at a time, read back as a table."""
     import datetime as dt
     path = shared_folder(spark)
     for row in metrics(spark, sf).collect():  # one row per horizon
         run_row(spark, f"horizon-{row.horizon}", "moving_average", {"horizon": row.horizon},
-                {"r2": row.r2, "mae": row.mae}, dt.datetime(2024, 1, 1)
-                ).write.mode("append").parquet(path)
+                {"r2": row.r2, "mae": row.mae}, dt.datetime(2024, 1, 1),
+                {"version": f"2.{row.horizon}", "purpose": "baseline"}).write.mode("append").parquet(path)
     return spark.read.parquet(path).select("run_id", "experiment", r("metrics.r2").alias("r2"),
-                                           r("metrics.mae").alias("mae"), "started_at")
+                                           r("metrics.mae").alias("mae"), "started_at",
+                                           "tags.framework", "tags.version", "tags.purpose")

@@ -466,6 +466,15 @@ def _(spark, sf):
     return spark.read.parquet(base).select(*TICK_COLS, "year", "month", "day")
 
 
+@query("write_lake_hours", with_ctes(TICKS, body="""
+SELECT id, symbol, ts, price, volume, hour(ts)::INT AS "hour" FROM ticks"""))
+def _(spark, sf):
+    """Hour folders below day and symbol."""
+    base = shared_folder(spark)
+    sink.write_lake(ticks(spark, sf).withColumn("data_type", F.lit("real_time_quote")), base)
+    return spark.read.parquet(base).select(*TICK_COLS, "hour")
+
+
 @query("write_by_source_market", ALL_BARS)
 def _(spark, sf):
     base = shared_folder(spark)

@@ -16,6 +16,13 @@ def latest_per_symbol(df: DataFrame, ts: str = "ts", key: str = "symbol") -> Dat
     return df.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r")
 
 
+def newest_rows(df: DataFrame, rows: int, ts: str = "ts", key: str = "symbol") -> DataFrame:
+    """The newest ``rows`` rows of each symbol, whose times must differ. Spark cuts each map
+    partition to that many rows of a symbol before the shuffle, however long its history is."""
+    newest = Window.partitionBy(key).orderBy(F.col(ts).desc())
+    return df.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= rows).drop("_n")
+
+
 def symbol_snapshot(prices: DataFrame, indicators: DataFrame) -> DataFrame:
     """Newest price row of each symbol with its newest indicators, if any."""
     return latest_per_symbol(prices).join(

@@ -7,12 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickloom.functions.numeric import number, percent, ratio
 from tickloom.functions.times import parse_time, parse_time_loose
+from tickloom.operators import documents
 
 # Limits of the record rules.
 MIN_PRICE, MAX_PRICE, MIN_VOLUME = 0.01, 1_000_000.0, 0
 MIN_RSI, MAX_RSI = 0.0, 100.0
 SYMBOL_PATTERN = "^[A-Z]{1,5}$"
 MAX_MOVE_PERCENT = 50.0
+# What a record of an unknown type is given.
+GENERIC = {"processed_as": "generic_financial_data",
+           "processing_note": "Processed with minimal transformations"}
 API_FIELDS = ("symbol", "timestamp", "price", "volume", "open_price", "high_price", "low_price",
               "close_price", "source")
 MAX_LOT = 1000
@@ -245,11 +249,20 @@ def quote_flags(quotes: DataFrame) -> DataFrame:
 
 
 def route_by_type(events: DataFrame) -> DataFrame:
-    """Branch per data_type, decided in one pass over the table."""
+    """Branch per data_type, decided in one pass over the table.
+
+    Each row fills the struct of its branch: ``quote``, ``intraday`` or ``daily`` (for events with
+    ``interval`` and ``data_points``), or ``generic``. Statistics are expressions over a row's own
+    points, so nothing is exploded or shuffled.
+    """
     kind = F.coalesce("data_type", F.lit("unknown"))
     known = kind.isin("real_time_quote", "intraday", "crypto_quote", "daily")
     price = F.col("price")
+    if "data_points" in events.columns:
+        events = _point_branches(events, kind)
     return events.withColumns({
+        "generic": F.when(~known, F.struct(
+            F.upper("symbol").alias("symbol"), *[F.lit(v).alias(k) for k, v in GENERIC.items()])),
         "branch": F.when(known, kind).otherwise("generic"),
         "quote": F.when(kind.isin("real_time_quote", "crypto_quote"),
                         F.struct(F.upper("symbol").alias("symbol"), price.alias("price"),
@@ -259,6 +272,23 @@ def route_by_type(events: DataFrame) -> DataFrame:
         "warning": F.when(~known, F.concat(F.lit("unrecognised data type: "), kind))})
 
 
+def _point_branches(events: DataFrame, kind: Column) -> DataFrame:
+    before = events.columns
+    measured = documents.daily_doc_indicators(documents.intraday_stats(events))
+    symbol, points = F.upper("symbol").alias("symbol"), F.greatest(F.size("data_points"), F.lit(0))
+    statistics = F.when(F.col("min_price").isNotNull(), F.struct(
+        "min_price", "max_price", "avg_price", "price_range", "total_volume"))
+    indicators = F.when(F.col("sma_20").isNotNull(), F.struct("sma_20", "volatility", "trend_direction"))
+    return measured.withColumns({
+        "intraday": F.when(kind == "intraday", F.struct(
+            symbol, F.coalesce("interval", F.lit("unknown")).alias("interval"),
+            points.alias("data_points_count"), statistics.alias("summary_statistics"),
+            F.col("trend").alias("trend"))),
+        "daily": F.when(kind == "daily", F.struct(
+            symbol, points.alias("data_points_count"), indicators.alias("technical_indicators")))}) \
+        .select(*before, "intraday", "daily")
+
+
 def validate_enriched(envelopes: DataFrame) -> DataFrame:
     """Envelope metadata, an original symbol and a non-empty enrichment."""
     ok = (F.col("processing_timestamp").isNotNull() & F.col("processor").isNotNull()

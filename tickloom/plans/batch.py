@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.operators import anomalies, indicators, quality, summaries
+from tickloom.operators import anomalies, indicators, lookups, quality, summaries
 from tickloom.operators.series import DAILY, Series
+from tickloom.session import staged
 from tickloom.sinks.tables import write_processed
 
 
+#: Rows that the widest frame of ``flag`` reaches back to.
+LOOK_BACK = 101
+
+
 def staged_clean(raw: DataFrame, folder: str) -> DataFrame:
     """Clean bars as a written table in shared storage.
 
@@ -21,13 +26,15 @@ def staged_clean(raw: DataFrame, folder: str) -> DataFrame:
 
 def flag(clean: DataFrame, series: Series = DAILY) -> DataFrame:
     """Indicators and anomaly flags of clean bars. Both steps share the same shuffle."""
-    return series.run(clean, 101, indicators.batch_step, anomalies.zscore_step)
+    return series.run(clean, LOOK_BACK, indicators.batch_step, anomalies.zscore_step)
 
 
 def market_report(raw: DataFrame, folder: str | None = None, series: Series = DAILY) -> DataFrame:
-    """Market summary; with a shared ``folder`` the clean bars are staged there."""
-    clean = staged_clean(raw, folder) if folder else quality.clean_and_validate(raw)
-    return summaries.market_summary(flag(clean, series))
+    """Market summary. It looks at each symbol's newest row only, so the indicators are computed
+    over the rows that this one's frames reach back to; they are staged (in ``folder``, else in
+    the session's shared folder), as their series are counted and read."""
+    recent = lookups.newest_rows(quality.clean_and_validate(raw), LOOK_BACK + 1)
+    return summaries.market_summary(flag(staged(recent, "recent_bars", folder), series))
 
 
 def warehouse_indicators(all_indicators: DataFrame) -> DataFrame:

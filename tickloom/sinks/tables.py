@@ -78,11 +78,22 @@ def write_dead_letters(split: DataFrame, path: str) -> None:
     write_partitioned(split, path, "result", fmt="json")
 
 
+def read_delivered(spark: SparkSession, path: str, schema: str, result: str = "Ok") -> DataFrame:
+    """One of the folders of ``write_dead_letters``; the other one is not opened."""
+    return spark.read.schema(f"{schema}, result string").json(path).filter(
+        F.col("result") == result).drop("result")
+
+
+# Tags that a run has unless it is given others.
+DEFAULT_TAGS = {"framework": "scikit-learn", "project": "financial_app", "version": "1.0.0"}
+
+
 def run_row(spark: SparkSession, run_id: str, experiment: str, params: dict, metrics: dict,
-            started_at) -> DataFrame:
-    """One row of the run table."""
+            started_at, tags: dict | None = None) -> DataFrame:
+    """One row of the run table. ``tags`` add to the default ones or replace them."""
     return spark.createDataFrame(
         [(run_id, experiment, {k: str(v) for k, v in params.items()},
-          {k: float(v) for k, v in metrics.items()}, started_at)],
+          {k: float(v) for k, v in metrics.items()}, started_at,
+          {**DEFAULT_TAGS, **{k: str(v) for k, v in (tags or {}).items()}})],
         "run_id string, experiment string, params map<string,string>, "
-        "metrics map<string,double>, started_at timestamp_ntz")
+        "metrics map<string,double>, started_at timestamp_ntz, tags map<string,string>")
