@@ -17,7 +17,7 @@ from tickloom.plans import events, live
 from tickloom.session import shared_folder
 from tickloom.sinks import tables as sink
 from tickloom.sources import bars as src
-from tickloom.streaming import aggregates as agg, alarms, jobs, processors as proc
+from tickloom.streaming import aggregates as agg, alarms, jobs, processors as proc, serving
 
 
 #: Rows of a landed file, and so of a micro-batch.
@@ -434,8 +434,8 @@ def _(spark, sf):
         "symbol", F.date_trunc("HOUR", "ts").cast("timestamp_ntz").alias("timestamp"), "price",
         "volume", F.lit("real_time_quote").alias("data_type"), F.col("ts").alias("processed_at"),
         F.col("price").alias("last"))
-    jobs.serve(quotes, f"{base}/table", f"{base}/state", metrics=("last",)).awaitTermination()
-    return jobs.served(spark, f"{base}/table", as_of).select(
+    serving.serve(quotes, f"{base}/table", f"{base}/state", metrics=("last",)).awaitTermination()
+    return serving.served(spark, f"{base}/table", as_of).select(
         "symbol", "timestamp", F.col("price").cast("double").alias("price"), "volume")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window, functions as F
 from tickloom.operators.series import Series
 from tickloom.operators import alerts, lookups
 from tickloom.plans import events
-from tickloom.streaming import aggregates as agg, jobs, processors as proc
+from tickloom.streaming import aggregates as agg, jobs, processors as proc, serving
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "symbol string, id bigint, ts timestamp, price double, volume bigint"
@@ -214,6 +214,54 @@ def test_rejected_text_is_kept(spark, tmp_path):
         "not json"]
 
 
+def serving_rows(spark, rows):
+    return spark.createDataFrame(
+        [(s, T0 + dt.timedelta(hours=h), p, 1, "quote", T0 + dt.timedelta(hours=h, minutes=at))
+         for s, h, p, at in rows],
+        "symbol string, timestamp timestamp_ntz, price double, volume bigint, data_type string, "
+        "processed_at timestamp_ntz")
+
+
+def test_serving_manifests(spark, tmp_path):
+    """Two batches on one day, a repeated batch, a reader between them, and a removal."""
+    table, day = str(tmp_path / "t"), T0 + dt.timedelta(hours=30)
+    batches = [[("A", 1, 1.0, 0), ("B", 1, 2.0, 0), ("A", 26, 3.0, 0)], [("A", 1, 1.5, 9), ("C", 2, 4.0, 0)],
+               [("A", 26, 3.5, 5)]]
+    for i, rows in enumerate(batches):
+        serving_rows(spark, rows).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        serving.serve(stream_of(spark, tmp_path / "in"), table, f"{tmp_path}/s").awaitTermination()
+        if i == 0:
+            pinned = serving.served(spark, table, F.lit(day))
+            first = serving.manifest(spark, table)
+    got = {(r.symbol, r.timestamp.hour, r.timestamp.day): float(r.price)
+           for r in serving.served(spark, table, F.lit(day)).collect()}
+    assert got == {("A", 1, 1): 1.5, ("B", 1, 1): 2.0, ("C", 2, 1): 4.0, ("A", 2, 2): 3.5}
+    assert sorted(float(r.price) for r in pinned.collect()) == [1.0, 2.0, 3.0]  # as it was read
+    assert first == {"2024-01-01": 0, "2024-01-02": 0}
+    assert serving.manifest(spark, table) == {"2024-01-01": 1, "2024-01-02": 2}
+
+    # The last batch again, as after a stop before its commit: the same table.
+    state = tmp_path / "s"
+    for kind in ("commits", "offsets"):
+        last = max((f for f in (state / kind).iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+        if kind == "commits":
+            last.unlink()
+            (state / kind / f".{last.name}.crc").unlink(missing_ok=True)
+    serving.serve(stream_of(spark, tmp_path / "in"), table, str(state)).awaitTermination()
+    again = {(r.symbol, r.timestamp.hour, r.timestamp.day): float(r.price)
+             for r in serving.served(spark, table, F.lit(day)).collect()}
+    assert again == got and serving.manifest(spark, table) == {"2024-01-01": 1, "2024-01-02": 2}
+
+    assert serving.remove_versions(spark, table, 3600) == []  # readers may still need them
+    import time
+    gone = serving.remove_versions(spark, table, 60, now=time.time() + 3600)
+    assert sorted(g for g in gone if g.startswith("day")) == ["day=2024-01-01/v=0", "day=2024-01-02/v=0"]
+    assert len([g for g in gone if g.startswith("_manifests")]) == 2
+    assert serving.served(spark, table, F.lit(day)).count() == 4
+    with pytest.raises(ValueError):
+        serving.served(spark, str(tmp_path / "none"), F.lit(day))
+
+
 def test_serving_table_keeps_newest_and_expires(spark, tmp_path):
     day = dt.timedelta(days=1)
     rows = [  # symbol, timestamp, price, written at
@@ -225,11 +273,11 @@ def test_serving_table_keeps_newest_and_expires(spark, tmp_path):
             part, "symbol string, timestamp timestamp_ntz, price double, processed_at timestamp"
         ).withColumns({"volume": F.lit(1), "data_type": F.lit("q")}).coalesce(1).write.mode(
             "append").parquet(f"{tmp_path}/in")
-    jobs.serve(stream_of(spark, tmp_path / "in"), f"{tmp_path}/t", f"{tmp_path}/s"
+    serving.serve(stream_of(spark, tmp_path / "in"), f"{tmp_path}/t", f"{tmp_path}/s"
                ).awaitTermination()
 
     def at(time):
-        out = jobs.served(spark, f"{tmp_path}/t", F.lit(time)).collect()
+        out = serving.served(spark, f"{tmp_path}/t", F.lit(time)).collect()
         return sorted((r.symbol, float(r.price)) for r in out)
 
     assert at(T0 + 6 * day) == [("A", 3.0), ("A", 4.0), ("A", 5.0), ("B", 2.0)]
