@@ -46,7 +46,7 @@ def result(spark, name):
 def test_sql_oracles(spark):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     for name, sql in queries.ORACLES.items():
         want = con.execute(sql).fetchdf()

@@ -66,7 +66,25 @@ def op2_training_order(spark: SparkSession, sf: str) -> DataFrame:
     return training_order.read_slots(spark, folder).drop("ids").join(manifest, "slot")
 
 
-@query("op3_decontaminate")
+@query("op3_decontaminate", r"""
+WITH low AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id, w, least(len(w), 10) AS size FROM (SELECT item_id, regexp_extract_all(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS p
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM items)),
+sizes AS (SELECT DISTINCT size FROM items),
+places AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS p
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM low, sizes WHERE len(w) >= size)),
+found AS (SELECT doc_id, item_id, size, i FROM places JOIN windows USING (size, p)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM found)
+  GROUP BY doc_id),
+held AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(len(ids), 0)::BIGINT AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)""")
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     out = decontaminate.find_leaks(table(spark, sf, "documents").select("doc_id", "text"),
                                    table(spark, sf, "benchmark"))
@@ -108,7 +126,26 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer())
 
 
-@query("op6_near_dedup")
+@query("op6_near_dedup", r"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n, sum(hash(s)::HUGEINT) AS h FROM shingles GROUP BY doc_id),
+classes AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY n, h) AS head FROM sizes),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id < b.doc_id AND a.doc_id IN (SELECT head FROM classes)
+    AND b.doc_id IN (SELECT head FROM classes) GROUP BY ALL),
+near AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+links AS (SELECT a AS u, b AS v FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT DISTINCT head AS u, head AS c FROM classes
+  UNION SELECT links.v, reach.c FROM reach JOIN links USING (u) WHERE reach.c < links.v),
+least_ AS (SELECT u, min(c) AS c FROM reach GROUP BY u)
+SELECT w.doc_id, coalesce(k.n, 0)::BIGINT AS n_shingles, coalesce(least_.c, w.doc_id) AS component_id,
+  w.doc_id = coalesce(least_.c, w.doc_id) AS kept
+FROM words w LEFT JOIN classes k USING (doc_id) LEFT JOIN least_ ON least_.u = k.head""")
 def op6_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(
         table(spark, sf, "documents").select("doc_id", "text"), percent=85)
