@@ -110,6 +110,13 @@ def test_training_order_round_trip(spark, odd, empty, tmp_path):
     for r in odd.collect():
         texts[r["doc_id"]] += [*plain.encode(r["text"] or "", add_special_tokens=False).ids, 0]
     assert {k: sorted(v) for k, v in documents_back.items()} == {k: sorted(v) for k, v in texts.items()}
+    # Another split of the rows gives the same shards and manifest.
+    again = str(tmp_path / "again")
+    other = training_order.write_training_order(odd.repartition(5).coalesce(3), queries.tokenizer(), stride=64,
+                                                per_shard=16, folder=again)
+    assert {r["slot"]: r for r in other.collect()} == held
+    assert {r["slot"]: r["ids"] for r in training_order.read_slots(
+        spark, again, stride=64, per_shard=16).collect()} == {s: x.tobytes() for s, x in ids.items()}
     part = training_order.read_slots(spark, folder, 5, 40, 64, 16)
     assert {r["slot"] for r in part.collect()} == set(range(5, 40))
     assert training_order.write_training_order(empty, queries.tokenizer()).count() == 0
