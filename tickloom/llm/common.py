@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator
 
@@ -46,6 +47,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str,
     """Slices of about ``limit`` text bytes; a longer text is a slice of its own."""
     pa.set_memory_pool(pa.system_memory_pool())  # a worker lives on; let it give memory back
     for batch in batches:
+        _give_back()
         if not batch.num_rows:
             continue
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
@@ -58,6 +60,13 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str,
             at = to
 
 
+def _give_back() -> None:
+    """Return what freed strings and lists have left in the allocator's arenas."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts behind each other, and where each begins and the last ends."""
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -113,13 +122,17 @@ _tables = [np.ones(1, np.uint64)] * 2
 
 def powers(size: int) -> list[np.ndarray]:
     """Powers of an odd number modulo 2**64, and of its inverse; one table for all of a worker's
-    kernels."""
-    if len(_tables[0]) < size:
-        for i, base in enumerate((_PRIME, pow(_PRIME, -1, 1 << 64))):
-            table = np.full((size + (1 << 18) - 1) >> 18 << 18, base, np.uint64)
-            table[0] = 1
-            _tables[i] = np.cumprod(table, out=table)
-    return _tables
+    kernels, except for a text that is longer than a chunk."""
+    if len(_tables[0]) >= size:
+        return _tables
+    made = []
+    for base in (_PRIME, pow(_PRIME, -1, 1 << 64)):
+        table = np.full((size + (1 << 18) - 1) >> 18 << 18, base, np.uint64)
+        table[0] = 1
+        made.append(np.cumprod(table, out=table))
+    if size <= 2 * CHUNK:
+        _tables[:] = made
+    return made
 
 
 def mix(x: np.ndarray) -> np.ndarray:
