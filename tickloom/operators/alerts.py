@@ -65,6 +65,7 @@ def enrich_alert(classified: DataFrame) -> DataFrame:
     """Title, message, actions and links."""
     symbol, codes = F.col("symbol"), F.col("anomalies_detected")
     change = F.coalesce("price_change_percent", F.lit(0.0))
+    # The texts of title and message.
     lines = [F.concat(F.lit("🚨 Anomalie détectée pour "), symbol),
              F.format_string("💰 Prix actuel: $%.2f", fixed(F.col("price"), 2)),
              F.format_string("📊 Changement: %+.2f%%", fixed(change, 2)),
@@ -87,6 +88,7 @@ def enrich_alert(classified: DataFrame) -> DataFrame:
 
 def sms_text(alerts: DataFrame) -> Column:
     """Short form: symbol, severity and the first characters of the message."""
+    # The texts around them.
     return F.concat(F.lit("Alerte "), F.col("symbol"), F.lit(": "), F.upper("severity"),
                     F.lit("\n"), F.substring("formatted_message", 1, SMS_CHARS), F.lit("..."))
 
