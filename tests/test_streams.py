@@ -55,6 +55,35 @@ def test_state_survives_micro_batches(spark, ticks, tmp_path):
     np.testing.assert_allclose(got["price_zscore"].astype(float), z, rtol=1e-6)
 
 
+def test_a_micro_batch_has_no_more_partitions_than_cores(spark, ticks, tmp_path):
+    jobs.use_rocksdb(spark)
+    land(spark, ticks, tmp_path / "in", 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        q = jobs.to_files(proc.stream_rolling(stream_of(spark, tmp_path / "in")),
+                          f"{tmp_path}/out", f"{tmp_path}/state", every=None)
+        q.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] <= 8
+
+
+def test_triggers_take_several_files(spark, tmp_path, monkeypatch):
+    from checks import q_streams
+    monkeypatch.setattr(q_streams, "LANDED_ROWS", 10)
+    rows = spark.range(1000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"))
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    q = jobs.to_files(q_streams.event_stream(spark, str(tmp_path)), f"{tmp_path}/out",
+                      f"{tmp_path}/state", every=None)
+    q.awaitTermination()
+    assert q.lastProgress["batchId"] == 4 and len(q.recentProgress) <= 6  # 100 files
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1000
+
+
 def test_stream_ema_and_previous_quote(spark, ticks, tmp_path):
     jobs.use_rocksdb(spark)
     land(spark, ticks, tmp_path / "in", 3)

@@ -4,10 +4,12 @@ message bus on a cluster; everything after it is the same."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.schemas import BAR
 
+#: Executors may still be joining when a stream starts: a cluster counts as this many cores at least.
+MIN_PARTITIONS = 8
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -27,6 +29,22 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def start(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a stream with no more shuffle partitions than the cluster has cores.
+
+    Each partition costs every micro-batch a task, a commit of its state and a Python worker, with or
+    without rows, and a stream has no adaptive execution that would join small ones. A query takes
+    the session's settings as it starts, and its number of partitions from its first start.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), max(MIN_PARTITIONS, spark.sparkContext.defaultParallelism)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def to_files(df: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds",
              fmt: str = "parquet", parts: tuple[str, ...] = (), name: str | None = None,
              **options: str) -> StreamingQuery:
@@ -40,15 +58,15 @@ def to_files(df: DataFrame, path: str, checkpoint: str, every: str | None = "30
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return start(writer.trigger(**trigger), df.sparkSession)
 
 
 def to_console(df: DataFrame, checkpoint: str, every: str | None = "10 seconds"
                ) -> StreamingQuery:
     """Debug output."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (df.writeStream.format("console").outputMode("append").option("truncate", "false")
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    return start(df.writeStream.format("console").outputMode("append").option("truncate", "false")
+                 .option("checkpointLocation", checkpoint).trigger(**trigger), df.sparkSession)
 
 
 # Keeps microseconds in JSON; readers must be given the same format.
@@ -98,8 +116,8 @@ def fan_out(stream: DataFrame, outputs: dict, checkpoint: str, every: str | None
             batch.unpersist()
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start())
+    return start(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                 .trigger(**trigger), stream.sparkSession)
 
 
 def run_all(queries: list[StreamingQuery]) -> None:

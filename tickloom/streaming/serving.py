@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.sinks.tables import merge_serving
+from tickloom.streaming import jobs
 
 MANIFESTS = "_manifests"
 
@@ -108,8 +109,8 @@ def serve(stream: DataFrame, table: str, checkpoint: str, keep_days: int = 7,
             remove_versions(spark, table, remove_after)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start())
+    return jobs.start(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                      .trigger(**trigger), stream.sparkSession)
 
 
 def served(spark: SparkSession, table: str, as_of: Column) -> DataFrame:
