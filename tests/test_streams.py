@@ -124,6 +124,46 @@ def test_events_of_one_symbol_and_time_are_not_repeats(spark, tmp_path):
     assert sorted(r["id"] for r in got.collect()) == list(range(1, 40))
 
 
+class Entries(dict):
+    """Map state that counts the bytes written."""
+
+    written = 0
+
+    def containsKey(self, key):
+        return key in self
+
+    def getValue(self, key):
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.written += sum(len(v) for v in value if isinstance(v, bytes))
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+def test_a_waiting_piece_is_written_once(ticks):
+    class Handle:
+        def getMapState(self, *_):
+            return Entries()
+
+        def getValueState(self, *_):
+            return None
+
+        getListState = getValueState
+
+        def registerTimer(self, at):
+            pass
+
+    waiting = proc.RollingProcessor(10 ** 9)
+    waiting.init(Handle())
+    rows = ticks.assign(at=ticks["ts"].astype("datetime64[us]").astype("int64"))
+    for chunk in np.array_split(np.arange(len(rows)), 30):
+        list(waiting.handleInputRows(("A",), iter([rows.iloc[chunk]]), None))
+    assert waiting.waiting.written == sum(len(v) for (v,) in waiting.waiting.values())
+
+
 MINUTE_MS = 60_000
 
 

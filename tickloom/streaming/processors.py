@@ -51,7 +51,9 @@ class RowProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         if self.piece_ms:
-            self.waiting = handle.getMapState("waiting", "piece bigint", "rows array<binary>")
+            # A piece's parts are entries of their own, so that one more does not write the others again.
+            self.parts = handle.getMapState("parts", "piece bigint", "n bigint")
+            self.waiting = handle.getMapState("waiting", "piece bigint, part bigint", "rows binary")
         self.open(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -62,17 +64,21 @@ class RowProcessor(StatefulProcessor):
             pieces = chunk["at"] // (self.piece_ms * 1000)
             for piece, part in chunk.groupby(pieces, sort=False):
                 place = (int(piece),)
-                held = list(self.waiting.getValue(place)[0]) if self.waiting.containsKey(place) else []
+                held = self.parts.getValue(place)[0] if self.parts.containsKey(place) else 0
                 if not held:
                     self.handle.registerTimer((int(piece) + 1) * self.piece_ms)
-                self.waiting.updateValue(place, ([*held, _packed(part)],))
+                self.waiting.updateValue((*place, held), (_packed(part),))
+                self.parts.updateValue(place, (held + 1,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         due = expiredTimerInfo.getExpiryTimeInMs()
         place = (due // self.piece_ms - 1,)
-        if due % self.piece_ms == 0 and self.waiting.containsKey(place):
-            rows = _ordered(map(_unpacked, self.waiting.getValue(place)[0]))
-            self.waiting.removeKey(place)
+        if due % self.piece_ms == 0 and self.parts.containsKey(place):
+            parts = [(*place, n) for n in range(self.parts.getValue(place)[0])]
+            rows = _ordered(_unpacked(self.waiting.getValue(part)[0]) for part in parts)
+            for part in parts:
+                self.waiting.removeKey(part)
+            self.parts.removeKey(place)
             yield self._with_head(key, rows).assign(closed=pd.Timestamp(due, unit="ms"))
         self.idle(due)
 
