@@ -76,6 +76,19 @@ def alerts_of(quotes: DataFrame) -> DataFrame:
     return al.enrich_alert(al.classify_alert(named))
 
 
+def first_alerts(alerts: DataFrame, period_ms: int) -> DataFrame:
+    """The earliest alert (the smallest id of equal times) of each symbol, severity, minute of the day
+    and period, among those that a piece of time has flushed. An audience takes all alerts of such a
+    group or none, so the others are never the first of its period; they go before the audiences come
+    in. The groups close with their piece, so the state holds none from one trigger to the next."""
+    period = F.floor(F.unix_micros("ts") / (period_ms * 1000))
+    groups = alerts.groupBy("closed", "symbol", "severity", al.group_minute().alias("_minute"),
+                            period.alias("_period"))
+    rest = [c for c in CARRIED if c != "severity"]
+    return groups.agg(F.min(F.struct("ts", *rest)).alias("_first")).select(
+        "symbol", "_first.ts", "closed", "severity", *[f"_first.{c}" for c in rest])
+
+
 def audience_of(alerts: DataFrame, classes: DataFrame, salts: int = 8) -> DataFrame:
     """Alerts of a stream with each audience that takes them. ``classes`` is a table
     (``alerts.audience_classes``): those that name symbols meet the stream in an equi-join by symbol;
@@ -111,7 +124,7 @@ def notifications(quotes: DataFrame, users: DataFrame, delay: str = "10 minutes"
     ``keep_ms`` after the last one has no previous one.
 
     Two keyed states follow each other: previous quotes by symbol, and open periods by audience
-    and symbol. Users of equal wants are one audience; they and their channels are joined behind
+    and symbol; between them only the first alerts of a group go on (``first_alerts``). Users of equal wants are one audience; they and their channels are joined behind
     the limiter, so the state holds audiences, not users. Alerts may pass only while both sides of
     the joins are small or partitioned by symbol; users are read anew by every micro-batch.
 
@@ -122,8 +135,8 @@ def notifications(quotes: DataFrame, users: DataFrame, delay: str = "10 minutes"
     rows = agg.with_watermark(known.select("symbol", "id", "ts", "price", "volume"), delay)
     ordered = proc.stream_previous_quote(rows, keep_ms, piece_ms)
     members = al.with_audience(users)
-    taken = audience_of(alerts_of(ordered).select(
-        "symbol", "ts", "closed", *CARRIED), al.audience_classes(members))
+    found = first_alerts(alerts_of(ordered).select("symbol", "ts", "closed", *CARRIED), period_ms)
+    taken = audience_of(found, al.audience_classes(members))
     limited = taken.select("audience", "symbol", "ts", *CARRIED, "closed",
                            F.unix_micros("ts").alias("at")) \
         .groupBy("audience", "symbol").transformWithStateInPandas(
