@@ -117,8 +117,26 @@ def events_table(spark, rows, path):
     return str(path)
 
 
+def test_changes_against_a_price_of_zero_lead_the_movers(spark, tmp_path):
+    import __spark_entry__ as entry_point
+    rows = [(i, T0 + dt.timedelta(seconds=i), "view", p) for i, p in enumerate([5.0, 0.0, 0.0, 7.0, 8.0])]
+    got = entry_point.queries()["top_movers"](spark, events_table(spark, rows, tmp_path)).collect()
+    assert [str(r["change_percent"]) for r in got] == ["nan", "inf", "-100.0", "14.2857", "None"]
+    assert [r["trend"] for r in got] == ["up", "up", "down", "up", "neutral"]
+
+
+def test_first_alerts_of_a_group(spark):
+    at = [T0 + dt.timedelta(seconds=s) for s in (0, 0, 10, 20, 70, 80)]
+    rows = [("A", t, T0, i, s, "m") for t, i, s in zip(
+        at, "badcef", ["info", "info", "critical", "info", "info", "critical"])]
+    alerts = spark.createDataFrame(rows, "symbol string, ts timestamp, closed timestamp, "
+                                         "alert_id string, severity string, formatted_message string")
+    got = events.first_alerts(alerts, 3_600_000).collect()
+    assert sorted(r["alert_id"] for r in got) == ["a", "d", "e"]
+
+
 def test_events_of_one_symbol_and_time_are_not_repeats(spark, tmp_path):
-    from checks import q_streams, registry  # noqa: F401
+    from checks import q_streams, registry  # noqa: F401 (registers its queries)
     rows = [(i, T0 + dt.timedelta(seconds=i // 2), "view", float(i)) for i in range(1, 40)]
     got = registry.QUERIES["stream_dedup"](spark, events_table(spark, rows, tmp_path))
     assert sorted(r["id"] for r in got.collect()) == list(range(1, 40))

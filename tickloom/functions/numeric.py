@@ -14,6 +14,17 @@ def percent(top: Column, bottom: Column) -> Column:
     return F.try_divide(top, bottom) * 100
 
 
+def ieee_percent(top: Column, bottom: Column) -> Column:
+    """As ``percent``, but a bottom of 0 gives an infinity, or NaN for 0 / 0, as plain doubles do."""
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    limit = (F.when(F.isnan(top) | (top == 0), nan).when(top > 0, inf).when(top < 0, -inf))
+    return F.when(bottom == 0, limit).otherwise(percent(top, bottom))
+
+
+def finite(value: Column) -> Column:
+    return F.abs(value) < float("inf")  # NaN is the largest value
+
+
 def fixed(value: Column, places: int) -> Column:
     """Half-up rounding on the scaled double; the same in any IEEE engine."""
     scale = float(10 ** places)
