@@ -182,6 +182,59 @@ def test_a_waiting_piece_is_written_once(ticks):
     assert waiting.waiting.written == sum(len(v) for (v,) in waiting.waiting.values())
 
 
+@pytest.mark.parametrize("run_rows, frames", [(50_000, 1), (30, 8)])
+def test_short_pieces_are_applied_together(ticks, monkeypatch, run_rows, frames):
+    class Pairs(Entries):
+        def iterator(self):
+            return iter([(k, v) for k, v in self.items()])
+
+    class Last:
+        row = None
+
+        def exists(self):
+            return self.row is not None
+
+        def get(self):
+            return self.row
+
+        def update(self, row):
+            self.row = row
+
+    class Handle:
+        timers = set()
+
+        def getMapState(self, *_):
+            return Pairs()
+
+        def getValueState(self, *_):
+            return Last()
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    class Mark:
+        def __init__(self, at):
+            self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: at
+
+    monkeypatch.setattr(proc, "RUN_ROWS", run_rows, raising=False)
+    handle, minute = Handle(), 60_000
+    waiting = proc.PreviousQuoteProcessor(piece_ms=minute)
+    waiting.init(handle)
+    rows = ticks.assign(at=ticks["ts"].astype("datetime64[us]").astype("int64"))
+    rows["volume"] = rows["volume"].astype("float64").where(rows["id"] > 150)  # parts with and without nulls
+    whole = rows.iloc[200:].astype({"volume": "int64"})
+    list(waiting.handleInputRows(("A",), iter([whole, rows.iloc[:200]]), None))
+    start = int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    assert handle.timers == {start + minute}  # 100 pieces wait
+    out = list(waiting.handleExpiredTimer(("A",), Mark(start + 80 * minute), Mark(start + minute)))
+    assert len(out) == frames and handle.timers == {start + minute, start + 81 * minute}
+    got = pd.concat(out, ignore_index=True)
+    assert got["id"].tolist() == list(range(240)) and sorted(waiting.parts) == sorted(
+        {(at // (minute * 1000),) for at in rows["at"][240:]})
+    assert got["previous_price"][1:].tolist() == ticks["price"][:239].tolist()
+    assert (got["closed"] == (rows["ts"][:240] + pd.Timedelta("1min")).dt.floor("min")).all()
+
+
 MINUTE_MS = 60_000
 
 

@@ -7,10 +7,11 @@ running averages, or the previous quote. Two modes:
   task holds a symbol's rows of one trigger. A row that arrives in a later trigger than younger
   rows is applied in order of arrival.
 - By event time (``piece_ms``, on a stream with a watermark): rows wait in the state, a piece of
-  event time each, until the watermark has passed the piece. Then the piece is sorted and applied.
-  Rows within the watermark's delay give the table's result whenever they arrive, and a task holds
-  an Arrow batch of arriving rows or one piece of one symbol. The output has ``closed``, the end of
-  a row's piece, as its event time, so that further state can follow it.
+  event time each, until the watermark has passed the piece. Then its rows are sorted and applied,
+  those of short pieces together. Rows within the watermark's delay give the table's result whenever
+  they arrive, and a task holds an Arrow batch of arriving rows, ``RUN_ROWS`` rows or one longer piece
+  of one symbol. The output has ``closed``, the end of a row's piece, as its event time, so that
+  further state can follow it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROWS = 51       # frame of the z-scores, current row included
 SHORT = 20      # frame of the averages
+RUN_ROWS = 50_000   # rows of passed pieces that are applied together
 
 
 def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -60,27 +62,51 @@ class RowProcessor(StatefulProcessor):
         if not self.piece_ms:
             yield self._with_head(key, _ordered(rows))
             return
+        known = {piece for (piece,) in self.parts.keys()}
+        held = {}
         for chunk in rows:
-            pieces = chunk["at"] // (self.piece_ms * 1000)
-            for piece, part in chunk.groupby(pieces, sort=False):
-                place = (int(piece),)
-                held = self.parts.getValue(place)[0] if self.parts.containsKey(place) else 0
-                if not held:
-                    self.handle.registerTimer((int(piece) + 1) * self.piece_ms)
-                self.waiting.updateValue((*place, held), (_packed(part),))
-                self.parts.updateValue(place, (held + 1,))
+            pieces = (chunk["at"] // (self.piece_ms * 1000)).to_numpy()
+            order = np.argsort(pieces, kind="stable")
+            batch = pa.RecordBatch.from_pandas(chunk, preserve_index=False).take(pa.array(order))
+            found, starts = np.unique(pieces[order], return_index=True)
+            for piece, start, end in zip(found.tolist(), starts, [*starts[1:], len(order)]):
+                if piece not in held:
+                    held[piece] = self.parts.getValue((piece,))[0] if piece in known else 0
+                self.waiting.updateValue((piece, held[piece]), (_packed(batch.slice(start, end - start)),))
+                held[piece] += 1
+        for piece, n in held.items():
+            self.parts.updateValue((piece,), (n,))
+        if held:
+            self._call(min(held))
+
+    def _call(self, piece: int) -> None:
+        """One timer, at the end of the first waiting piece: it hears of all that have passed by then."""
+        self.handle.registerTimer((piece + 1) * self.piece_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        place = (due // self.piece_ms - 1,)
-        if due % self.piece_ms == 0 and self.parts.containsKey(place):
-            parts = [(*place, n) for n in range(self.parts.getValue(place)[0])]
-            rows = _ordered(_unpacked(self.waiting.getValue(part)[0]) for part in parts)
-            for part in parts:
-                self.waiting.removeKey(part)
-            self.parts.removeKey(place)
-            yield self._with_head(key, rows).assign(closed=pd.Timestamp(due, unit="ms"))
-        self.idle(due)
+        mark = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        passed = mark // self.piece_ms
+        run, size = [], 0
+        for piece, n in sorted((piece, n) for (piece,), (n,) in self.parts.iterator()):
+            if piece >= passed:
+                self._call(piece)
+                break
+            for part in range(n):
+                run.append(_unpacked(self.waiting.getValue((piece, part))[0]))
+                size += run[-1].num_rows
+                self.waiting.removeKey((piece, part))
+            self.parts.removeKey((piece,))
+            if size >= RUN_ROWS:
+                yield self._closed(key, run)
+                run, size = [], 0
+        if run:
+            yield self._closed(key, run)
+        self.idle(passed * self.piece_ms)
+
+    def _closed(self, key, run: list[pa.Table]) -> pd.DataFrame:
+        rows = _ordered([pa.concat_tables(run, promote_options="permissive").to_pandas()])
+        ends = (rows["at"] // (self.piece_ms * 1000) + 1) * self.piece_ms
+        return self._with_head(key, rows).assign(closed=pd.to_datetime(ends, unit="ms"))
 
     def _with_head(self, key, new: pd.DataFrame) -> pd.DataFrame:
         head = pd.DataFrame({"symbol": key[0], **{
@@ -97,16 +123,16 @@ class RowProcessor(StatefulProcessor):
         pass
 
 
-def _packed(rows: pd.DataFrame) -> bytes:
-    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+def _packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(bytes(data)).read_all().to_pandas()
+def _unpacked(data: bytes) -> pa.Table:
+    """Without the notes on pandas types, which differ between parts with and without nulls."""
+    return pa.ipc.open_stream(bytes(data)).read_all().replace_schema_metadata(None)
 
 
 class RollingProcessor(RowProcessor):
