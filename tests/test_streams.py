@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.operators.series import Series
 from tickloom.operators import alerts, lookups
@@ -70,6 +71,30 @@ def test_a_micro_batch_has_no_more_partitions_than_cores(spark, ticks, tmp_path)
     assert q.lastProgress["stateOperators"][0]["numShufflePartitions"] <= 8
 
 
+# Queries of bounded streams
+BOUNDED = ["stream_previous_quote_expiry", "stream_sliding_agg"]
+
+
+@pytest.mark.parametrize("name", BOUNDED)
+def test_a_query_starts_no_stream_with_200_partitions(spark, tmp_path, monkeypatch, name):
+    from checks import q_streams, registry  # noqa: F401 (registers its queries)
+    key, started, begin = "spark.sql.shuffle.partitions", [], DataStreamWriter.start
+
+    def recorded(writer, *args, **kwargs):
+        started.append(int(spark.conf.get(key)))
+        return begin(writer, *args, **kwargs)
+
+    monkeypatch.setattr(DataStreamWriter, "start", recorded)
+    rows = [(i, T0 + dt.timedelta(minutes=20 * i), "view", float(i % 40)) for i in range(1, 90)]
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200")
+    try:
+        assert registry.QUERIES[name](spark, events_table(spark, rows, tmp_path)).columns
+    finally:
+        spark.conf.set(key, before)
+    assert started and max(started) <= 8
+
+
 def test_triggers_take_several_files(spark, tmp_path, monkeypatch):
     from checks import q_streams
     monkeypatch.setattr(q_streams, "LANDED_ROWS", 10)
