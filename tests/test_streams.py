@@ -73,7 +73,7 @@ def test_a_micro_batch_has_no_more_partitions_than_cores(spark, ticks, tmp_path)
 
 # Queries of bounded streams
 BOUNDED = ["stream_previous_quote_expiry", "stream_sliding_agg", "serving_upsert", "stream_alarms",
-           "stream_anomalies", "stream_ema", "stream_indicators", "stream_previous_quote"]
+           "stream_anomalies", "stream_ema", "stream_indicators", "stream_previous_quote", "stream_market_agg"]
 
 
 @pytest.mark.parametrize("name", BOUNDED)
