@@ -73,7 +73,8 @@ def test_a_micro_batch_has_no_more_partitions_than_cores(spark, ticks, tmp_path)
 
 # Queries of bounded streams
 BOUNDED = ["stream_previous_quote_expiry", "stream_sliding_agg", "serving_upsert", "stream_alarms",
-           "stream_anomalies", "stream_ema", "stream_indicators", "stream_previous_quote", "stream_market_agg"]
+           "stream_anomalies", "stream_ema", "stream_indicators", "stream_previous_quote", "stream_market_agg",
+           "multi_query"]
 
 
 @pytest.mark.parametrize("name", BOUNDED)
