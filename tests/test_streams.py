@@ -262,6 +262,24 @@ def test_short_pieces_are_applied_together(ticks, monkeypatch, run_rows, frames)
     assert (got["closed"] == (rows["ts"][:240] + pd.Timedelta("1min")).dt.floor("min")).all()
 
 
+def test_windows_keep_no_rounding_of_values_that_left():
+    class Past(list):
+        get, put = list.copy, list.extend
+
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.uniform(1e5, 4e5, 4000), [0.013], np.full(60, 0.02), [np.nan, 0.02, 7.0]])
+    rolling = proc.RollingProcessor()
+    rolling.past = Past()
+    got = rolling.apply(pd.DataFrame({"price": values, "volume": values}))
+    z = got["price_zscore"].to_numpy()
+    assert abs(z[4050] - 51 ** -0.5) < 1e-7  # one of 51 differs
+    assert np.isnan(z[[0, 4051, 4061, 4062]]).all()  # one value, flat, null, flat
+    assert abs(z[4063] - 49 / 50 ** 0.5) < 1e-7
+    assert abs(got["volatility"][4063] - 6.98 / 19 ** 0.5) < 1e-7 and got["sma_20"][0] == values[0]
+    np.testing.assert_allclose(got["volatility"][1:4000], pd.Series(values[:4000]).rolling(20, 1).std()[1:])
+    assert len(rolling.past) == 50
+
+
 MINUTE_MS = 60_000
 
 

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROWS = 51       # frame of the z-scores, current row included
 SHORT = 20      # frame of the averages
+WINDOWS = 10_000    # frames that are summed at once
 RUN_ROWS = 50_000   # rows of passed pieces that are applied together
 
 
@@ -135,6 +136,29 @@ def _unpacked(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(bytes(data)).read_all().replace_schema_metadata(None)
 
 
+def _moments(values: pd.Series, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, sample deviation and flatness of the last ``size`` values up to each row, without nulls.
+
+    Each window is summed by itself: sums that move with the window keep the rounding of values that
+    have left it, which shows where the rest is nearly flat.
+    """
+    padded = np.concatenate([np.full(size - 1, np.nan), values.to_numpy(dtype="float64")])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, size)
+    mean, deviation, flat = np.empty(len(values)), np.empty(len(values)), np.empty(len(values), bool)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for start in range(0, len(values), WINDOWS):
+            at = slice(start, start + WINDOWS)
+            part = windows[at]
+            there = ~np.isnan(part)
+            n = there.sum(axis=1)
+            mean[at] = np.where(there, part, 0.0).sum(axis=1) / n
+            off = np.where(there, part - mean[at, None], 0.0)
+            deviation[at] = np.sqrt((off * off).sum(axis=1) / (n - 1))
+            flat[at] = off.max(axis=1, initial=-np.inf, where=there) == off.min(
+                axis=1, initial=np.inf, where=there)
+    return mean, deviation, flat
+
+
 class RollingProcessor(RowProcessor):
     """Indicators over 20 rows and z-scores over 51, from one ring buffer per symbol. ``carry``
     names text columns that rows keep."""
@@ -150,17 +174,15 @@ class RollingProcessor(RowProcessor):
         old = pd.DataFrame(list(self.past.get()), columns=["price", "volume"], dtype="float64")
         both = pd.concat([old, new[["price", "volume"]].astype("float64")], ignore_index=True)
         price, volume = both["price"], both["volume"]
-        long_p, long_v = price.rolling(ROWS, min_periods=1), volume.rolling(ROWS, min_periods=1)
-        short = price.rolling(SHORT, min_periods=1)
+        sma, volatility, _ = _moments(price, SHORT)
+        volume_sma, _, _ = _moments(volume, SHORT)
         before = price.shift(1)
         change = price - before
-        pz = self._z(price, long_p)
-        vz = self._z(volume, long_v)
+        pz, vz = self._z(price), self._z(volume)
         out = pd.DataFrame({
             "price_change": change,
             "price_change_pct": np.where(before > 0, change / before * 100, 0.0),
-            "sma_20": short.mean(), "volatility": short.std(),
-            "volume_sma": volume.rolling(SHORT, min_periods=1).mean(),
+            "sma_20": sma, "volatility": volatility, "volume_sma": volume_sma,
             "price_zscore": pz, "volume_zscore": vz,
             "is_anomaly": (pz.abs() > 3) | (vz.abs() > 3),
             "anomaly_severity": np.select(
@@ -170,11 +192,10 @@ class RollingProcessor(RowProcessor):
         return out
 
     @staticmethod
-    def _z(values: pd.Series, window) -> pd.Series:
-        deviation = window.std()
+    def _z(values: pd.Series) -> pd.Series:
+        mean, deviation, flat = _moments(values, ROWS)
         # A flat window has a deviation that is zero up to rounding.
-        flat = window.max() == window.min()
-        return ((values - window.mean()) / deviation).where(~flat)
+        return ((values - mean) / deviation).where(~flat)
 
 
 class EmaProcessor(RowProcessor):
