@@ -129,6 +129,26 @@ def test_stream_ema_and_previous_quote(spark, ticks, tmp_path):
                                batch["previous_price"].astype(float))
 
 
+def test_rows_by_arrival_reach_python_without_a_timestamp(spark, ticks, tmp_path):
+    class Seen(proc.RowProcessor):
+        COLUMNS = "seen string"
+
+        def open(self, handle):
+            pass
+
+        def apply(self, new):
+            return pd.DataFrame({"seen": [",".join(new.columns)] * len(new)})
+
+    jobs.use_rocksdb(spark)
+    land(spark, ticks, tmp_path / "in", 2)
+    rows = stream_of(spark, tmp_path / "in")
+    out = run(spark, proc._stateful(rows, Seen()), tmp_path)
+    assert {r["seen"] for r in out.select("seen").distinct().collect()} == {"symbol,id,price,volume,at"}
+    assert dict(out.dtypes)["ts"] == "timestamp" and out.columns[:3] == ["symbol", "id", "ts"]
+    assert out.select("id", "ts").exceptAll(spark.read.parquet(str(tmp_path / "in")).select(
+        "id", F.col("ts").cast("timestamp"))).isEmpty() and out.count() == len(ticks)
+
+
 def arriving(ticks, seed=2):
     """Ticks in order of arrival: up to nine minutes late, so most triggers hold older rows."""
     rng = np.random.default_rng(seed)

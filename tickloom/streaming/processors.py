@@ -31,25 +31,29 @@ RUN_ROWS = 50_000   # rows of passed pieces that are applied together
 
 
 def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values(["ts", "id"], kind="stable", ignore_index=True)
+    return pd.concat(list(rows)).sort_values(["at", "id"], kind="stable", ignore_index=True)
 
 
 class RowProcessor(StatefulProcessor):
     """Applies a symbol's rows in order. Subclasses open their state in ``open`` and give the
     output of some rows, in order and later than all before, in ``apply``; ``idle`` hears of the
-    timers that ``wake`` has set."""
+    timers that ``wake`` has set. ``time`` names the column that rows keep as their time: ``at``, in
+    microseconds, unless a watermark needs ``ts``, as a timestamp takes Spark's Python worker longer
+    to hand over than the rest of the row."""
 
     COLUMNS = ""
+    TYPES = {"at": "bigint", "ts": "timestamp"}
 
     def __init__(self, piece_ms: int | None = None, carry: tuple[str, ...] = ()) -> None:
         self.piece_ms, self.carry = piece_ms, carry
+        self.time = "at" if piece_ms is None else "ts"
 
     @property
     def output(self) -> str:
         kept = "".join(f"{c} string, " for c in self.carry)
         closed = ", closed timestamp" if self.piece_ms else ""
-        return ("symbol string, id bigint, ts timestamp, price double, volume bigint, "
-                f"{kept}{self.COLUMNS}{closed}")
+        return (f"symbol string, id bigint, {self.time} {self.TYPES[self.time]}, price double, "
+                f"volume bigint, {kept}{self.COLUMNS}{closed}")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -111,7 +115,7 @@ class RowProcessor(StatefulProcessor):
 
     def _with_head(self, key, new: pd.DataFrame) -> pd.DataFrame:
         head = pd.DataFrame({"symbol": key[0], **{
-            c: new[c] for c in ("id", "ts", "price", "volume", *self.carry)}})
+            c: new[c] for c in ("id", self.time, "price", "volume", *self.carry)}})
         return pd.concat([head, self.apply(new)], axis=1)
 
     def wake(self, at_ms: int) -> None:
@@ -266,15 +270,22 @@ class PreviousQuoteProcessor(RowProcessor):
 
 
 def _stateful(stream: DataFrame, processor: RowProcessor, watermarked: bool = False) -> DataFrame:
+    by_time = processor.piece_ms is not None
+    if watermarked:
+        processor.time = "ts"
     rows = stream.select("symbol", "id", "ts", "price", "volume", *processor.carry,
                          F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
-    by_time = processor.piece_ms is not None
     if by_time:
         rows = rows.filter(F.col("ts").isNotNull())  # no watermark would ever pass them
-    return rows.groupBy("symbol").transformWithStateInPandas(
+    if processor.time == "at":
+        rows = rows.drop("ts")
+    out = rows.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.output, outputMode="Append",
         timeMode="EventTime" if by_time or watermarked else "None",
         eventTimeColumnName="closed" if by_time else "ts" if watermarked else "")
+    if processor.time == "ts":
+        return out
+    return out.select(*[F.timestamp_micros(c).alias("ts") if c == "at" else c for c in out.columns])
 
 
 def stream_rolling(stream: DataFrame, carry: tuple[str, ...] = (), watermarked: bool = False,
