@@ -149,6 +149,11 @@ def test_rows_by_arrival_reach_python_without_a_timestamp(spark, ticks, tmp_path
         "id", F.col("ts").cast("timestamp"))).isEmpty() and out.count() == len(ticks)
 
 
+@pytest.mark.parametrize("kind", [proc.PreviousQuoteProcessor, proc.EmaProcessor, proc.RollingProcessor])
+def test_time_is_a_number_by_arrival(kind):
+    assert " at bigint," in kind().output and " ts timestamp," in kind(piece_ms=MINUTE_MS).output
+
+
 def arriving(ticks, seed=2):
     """Ticks in order of arrival: up to nine minutes late, so most triggers hold older rows."""
     rng = np.random.default_rng(seed)
